@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from letterloom.functions.text import bind
+from letterloom.functions.text import bind, constant_list, constant_map
 
 # Month abbreviations, and zone names with their UTC offsets.
 MONTHS = ("jan", "feb", "mar", "apr", "may", "jun", "jul", "aug", "sep", "oct", "nov", "dec")
@@ -38,11 +38,9 @@ def parse_date(text: Column) -> Column:
 def _iso(fields: Column) -> Column:
     day, month, year, hour, minute, second, offset, zone = (F.get(fields, F.lit(i)) for i in range(1, 9))
     century = F.when(F.length(year) == 4, "").when(year >= "69", "19").otherwise("20")
-    months = F.array(*[F.lit(m) for m in MONTHS])
-    number = F.array_position(months, F.lower(month)).cast("string")
-    zones = F.create_map(*[F.lit(x) for pair in ZONES.items() for x in pair])
+    number = F.array_position(constant_list(MONTHS), F.lower(month)).cast("string")
     shift = F.when(offset != "", F.regexp_replace(offset, r"^(...)(..)$", "$1:$2")).otherwise(
-        F.coalesce(F.try_element_at(zones, F.upper(zone)), F.lit("+00:00"))
+        F.coalesce(F.try_element_at(constant_map(ZONES), F.upper(zone)), F.lit("+00:00"))
     )
     return F.concat(
         century, year, F.lit("-"), F.lpad(number, 2, "0"), F.lit("-"), F.lpad(day, 2, "0"),

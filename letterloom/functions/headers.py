@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from letterloom.functions.text import constant_list
+
 # The header names that are read, and those that must be present.
 READ_HEADERS = ("message-id", "date", "from", "to", "cc", "bcc", "subject")
 REQUIRED_HEADERS = ("to", "from", "subject")
@@ -58,11 +60,18 @@ def header_value(headers: Column, name: str) -> Column:
     return F.try_element_at(hits, F.lit(-1))["value"]
 
 
+def header_values(headers: Column) -> Column:
+    """The last value of each header that is read, in the order of the names."""
+    return F.transform(
+        constant_list(READ_HEADERS),
+        lambda name: F.try_element_at(F.filter(headers, lambda h: F.lower(h["name"]) == name), F.lit(-1))["value"],
+    )
+
+
 def has_required(headers: Column) -> Column:
     """Whether every required header is present; an empty value counts."""
     names = F.transform(headers, lambda h: F.lower(h["name"]))
-    required = F.array(*[F.lit(name) for name in REQUIRED_HEADERS])
-    return F.size(F.array_intersect(required, names)) == len(REQUIRED_HEADERS)
+    return F.size(F.array_intersect(constant_list(REQUIRED_HEADERS), names)) == len(REQUIRED_HEADERS)
 
 
 def clean_subject(subject: Column, anchored: bool = False) -> Column:

@@ -7,7 +7,7 @@ from html.entities import name2codepoint
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from letterloom.functions.text import bind, strip_blank
+from letterloom.functions.text import bind, constant_map, strip_blank
 
 # Comments, and elements whose text is not shown.
 HIDDEN = r"(?is)<!--.*?-->|<script\b.*?</script\s*>|<style\b.*?</style\s*>"
@@ -28,7 +28,7 @@ def _code_point(number: Column) -> Column:
 
 def unescape(text: Column) -> Column:
     """Replace character references. Text without "&" is left as it is."""
-    named = F.create_map(*[F.lit(x) for n, c in name2codepoint.items() for x in (n, chr(c))])
+    named = constant_map({name: chr(code) for name, code in name2codepoint.items()})
 
     def after_ampersand(piece: Column) -> Column:
         decimal = F.regexp_extract(piece, ENTITY, 1)

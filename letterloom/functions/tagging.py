@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from letterloom.functions.text import constant_list
+
 # Runs of word characters, and the runs between them.
 SEGMENT = r"[\p{L}\p{N}_]+|[^\p{L}\p{N}_]+"
 
@@ -65,7 +67,7 @@ def segments(text: Column) -> Column:
 
 
 def _pick(pool: tuple[str, ...], draw: Column) -> Column:
-    return F.get(F.array(*[F.lit(p) for p in pool]), (draw % len(pool)).cast("int"))
+    return F.get(constant_list(pool), (draw % len(pool)).cast("int"))
 
 
 def _surrogate(label: Column, draw: Column) -> Column:

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import unicodedata
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -42,6 +42,15 @@ def bind(value: Column, then: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), then), F.lit(0))
 
 
+def constant_map(entries: dict[str, str]) -> Column:
+    """A map literal from two short strings; its separators must not be in the entries."""
+    return F.str_to_map(F.lit("\x02".join(f"{k}\x01{v}" for k, v in entries.items())), F.lit("\x02"), F.lit("\x01"))
+
+
+def constant_list(items: Sequence[str]) -> Column:
+    return F.split(F.lit("\x02".join(items)), "\x02")
+
+
 def valid_text(value: Column) -> Column:
     """Bytes as text; bytes that are not UTF-8 become U+FFFD."""
     return F.make_valid_utf8(value.cast("string"))

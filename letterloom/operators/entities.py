@@ -121,9 +121,12 @@ def tag_entities(
         F.collect_list(F.struct("field", "at", "span", "size", "label")).alias("_found")
     )
     out = df.join(per_row, list(key), "left")
+
+    def of_field(name: str) -> Column:
+        return F.filter("_found", lambda m: m["field"] == name)
+
     for name in fields:
-        hits = F.filter("_found", lambda m, name=name: m["field"] == name)
-        out = out.withColumn("_kept", _keep_longest(hits)).withColumn(
+        out = out.withColumn("_kept", _keep_longest(of_field(name))).withColumn(
             name, F.when(F.size("_kept") > 0, _rebuild(F.col(name), F.col("_kept"))).otherwise(F.col(name))
         )
     return out.select(*df.columns)

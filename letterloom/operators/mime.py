@@ -25,6 +25,7 @@ from pyspark.sql.pandas.types import to_arrow_type
 from letterloom.functions.headers import unfold
 from letterloom.functions.text import bind, valid_text
 from letterloom.schemas import PARSED
+from letterloom.session import stage
 
 # Workers get these functions by value, so they need no copy of the package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -246,7 +247,8 @@ def with_body_source(df: DataFrame, raw: str, split: str, wanted: Column) -> Dat
         F.lit(None).cast("string").alias("reason"),
     )
     df = df.withColumn("body_source", F.when(F.col("_native"), native).when(wanted, found))
-    return df.drop("_lines", "_mime", "_kind", "_encoding", "_shape", "_bytes", "_native", "_parsed", "_best")
+    df = df.drop("_lines", "_mime", "_kind", "_encoding", "_shape", "_bytes", "_native", "_parsed", "_best")
+    return stage(df, "bodies")
 
 
 def core_part(parts: Column) -> Column:

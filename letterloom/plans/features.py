@@ -38,9 +38,16 @@ def daily_features(
     day: dt.date,
     key: str = "message_id",
     fields: Sequence[str] = FIELDS,
+    unique: bool = False,
 ) -> DataFrame:
-    """(row_id, matrix_date, field, split, indices, values), one row per text."""
-    rows = half_split(number_rows(messages, key, fields), "row_key")
+    """(row_id, matrix_date, field, split, indices, values), one row per text.
+
+    ``unique`` says that no two rows share a key; the key is then the row id.
+    """
+    if unique:
+        rows = half_split(messages.select(F.col(key).alias("row_id"), *fields), "row_id")
+    else:
+        rows = half_split(number_rows(messages, key, fields), "row_key")
     row = ("row_id", "split")
     texts = processed_text(rows, row, fields, lemmas, vocabulary)
     vectors = bow_vectors(texts, row, vocabulary)

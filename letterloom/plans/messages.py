@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -12,9 +10,10 @@ from letterloom.functions.body import cut_inline, strip_quotes
 from letterloom.functions.dates import parse_date
 from letterloom.functions.hashing import hash_address
 from letterloom.functions.headers import (
+    READ_HEADERS,
     clean_subject,
     has_required,
-    header_value,
+    header_values,
     message_id,
     read_headers,
     split_message,
@@ -26,7 +25,7 @@ from letterloom.operators.entities import Gazetteer, tag_entities
 from letterloom.operators.mime import with_body_source, with_decoded_headers
 from letterloom.options import MailOptions
 from letterloom.schemas import MESSAGE_COLUMNS
-from letterloom.session import ensure_checkpoint_dir
+from letterloom.session import ensure_checkpoint_dir, stage
 
 ROW_KEY = ("topic", "partition", "offset")
 
@@ -59,17 +58,23 @@ def _extract(raw: DataFrame, options: MailOptions) -> DataFrame:
         ),
     )
 
+    df = df.withColumn("_values", header_values(F.col("_headers")))
+
     def header(name: str) -> Column:
-        return header_value(F.col("_headers"), name)
+        return F.get("_values", F.lit(READ_HEADERS.index(name)))
 
     def protect(address: Column) -> Column:
         if not options.hash_addresses:
             return address
         return hash_address(address, options.salt, options.hash_mode)
 
-    def addresses(name: str) -> Column:
-        return F.coalesce(F.array_join(valid_addresses(header(name), protect), ", "), F.lit(""))
-
+    df = df.withColumn(
+        "_lists",
+        F.transform(
+            F.array(header("to"), header("cc"), header("bcc")),
+            lambda text: F.coalesce(F.array_join(valid_addresses(text, protect), ", "), F.lit("")),
+        ),
+    )
     reason = (
         F.when(~F.col("_complete"), "missing_header")
         .when(F.col("body_source.reason").isNotNull(), F.col("body_source.reason"))
@@ -80,9 +85,9 @@ def _extract(raw: DataFrame, options: MailOptions) -> DataFrame:
         protect(message_id(header("message-id"), F.col("value"))).alias("message_id"),
         parse_date(header("date")).alias("date"),
         protect(parse_address(header("from"))).alias("from_address"),
-        addresses("to").alias("to_addresses"),
-        addresses("cc").alias("cc_addresses"),
-        addresses("bcc").alias("bcc_addresses"),
+        F.get("_lists", F.lit(0)).alias("to_addresses"),
+        F.get("_lists", F.lit(1)).alias("cc_addresses"),
+        F.get("_lists", F.lit(2)).alias("bcc_addresses"),
         clean_subject(header("subject"), options.anchored_subject).alias("subject"),
         F.col("_body").alias("body"),
         reason.alias("reason"),
@@ -114,9 +119,8 @@ def classify_messages(
     through. Batch and streaming use this same function; a gazetteer needs a
     batch frame, so a stream passes one inside ``foreachBatch``.
 
-    The closing ``observe`` counts the outcomes at no extra pass. It also keeps
-    later filters on ``reason`` above it, where they do not evaluate the
-    cleaning expressions a second time.
+    The closing ``stage`` counts the outcomes at no extra pass and keeps later
+    filters on ``reason`` from evaluating the cleaning expressions again.
     """
     df = _extract(raw, options)
     if options.tag_content:
@@ -130,11 +134,7 @@ def classify_messages(
         F.to_date("timestamp").alias("processed_date"),
         "reason",
     )
-    return df.observe(
-        f"messages-{uuid.uuid4().hex}",
-        F.count(F.lit(1)).alias("read"),
-        F.count("reason").alias("rejected"),
-    )
+    return stage(df, "messages", F.count("reason").alias("rejected"))
 
 
 def accepted_messages(outcomes: DataFrame, null_rows: bool = False, keep: tuple[str, ...] = ()) -> DataFrame:

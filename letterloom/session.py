@@ -5,7 +5,8 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 RUNTIME_CONF = {
     "spark.sql.session.timeZone": "UTC",
@@ -49,6 +50,16 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
         spark.sparkContext.setCheckpointDir(shared_dir(spark))
 
 
+def stage(df: DataFrame, label: str, *counts: Column) -> DataFrame:
+    """Count rows as they pass, and keep later filters above this point.
+
+    Catalyst moves a filter below the projections under it and repeats their
+    expressions there, Python functions included. It does not move one below
+    observed metrics, so costly columns are evaluated once.
+    """
+    return df.observe(f"{label}-{uuid.uuid4().hex}", F.count(F.lit(1)).alias("rows"), *counts)
+
+
 def spread(df: DataFrame, key: str) -> DataFrame:
     """Hash a scan over all cores when it has fewer partitions than cores.
 
