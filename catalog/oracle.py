@@ -61,7 +61,7 @@ def quote_ctes(source: str, text: str, name: str) -> str:
 
 def html_sql(html: str) -> str:
     text = f"regexp_replace(regexp_replace({html}, {q(HIDDEN)}, '', 'g'), {q(TAG)}, '', 'g')"
-    for name, char in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&nbsp;", "\xa0"), ("&amp;", "&")):
+    for name, char in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&nbsp;", "\xa0"), ("&copy;", "©"), ("&middot;", "·"), ("&amp;", "&")):
         text = f"replace({text}, {q(name)}, {q(char)})"
     return f"trim({text}, {q(WHITESPACE)})"
 

@@ -5,9 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from letterloom.functions.text import unify_lines
+from letterloom.functions.text import bind, unify_lines
 from letterloom.options import HEADER_HINT_PATTERN, SEPARATOR_PATTERN
 
+# What a hit of the default patterns starts with; a quick test before the words.
+HIT_START = "(?=[-_*=tsfcb])"
 # The line that introduces quoted history, in the languages mail programs use.
 QUOTE_INTRO = (
     r"[ \t>]*(?:On|Le|Am|Op|El|Il|Den|Em) [^\n]*(?:\n[^\n]*)?"
@@ -22,11 +24,17 @@ def cut_inline(
     header_hint: str = HEADER_HINT_PATTERN,
 ) -> Column:
     """The lines before the first one that looks like the start of another message."""
-    return F.regexp_replace(
-        unify_lines(text),
-        rf"(?s)(?:\A|\n)[^\n]*(?:{separator}|(?iu:{header_hint})).*\z",
-        "",
-    )
+    known = (separator, header_hint) == (SEPARATOR_PATTERN, HEADER_HINT_PATTERN)
+    hit = rf"(?iu){HIT_START if known else ''}(?:{separator}|{header_hint})"
+
+    def whole_lines(parts: Column) -> Column:
+        head = F.get(parts, F.lit(0))
+        broken = F.length(F.substring_index(head, "\n", -1))
+        return F.when(F.size(parts) == 1, head).otherwise(
+            F.substring(head, F.lit(1), F.length(head) - broken - 1)
+        )
+
+    return bind(F.split(unify_lines(text), hit, 2), whole_lines)
 
 
 def strip_quotes(text: Column) -> Column:

@@ -19,8 +19,8 @@ ASCII_WHITESPACE = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f "
 # The 32 ASCII punctuation characters.
 PUNCTUATION = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 
-# Every line break other than "\n" itself, as a Java pattern.
-OTHER_LINE_BREAKS = r"\r\n|[\r\x0b\x0c\x1c-\x1e\x85\u2028\u2029]"
+# The line breaks other than "\n" and the pair "\r\n".
+OTHER_LINE_BREAKS = "\r\x0b\x0c\x1c\x1d\x1e\x85\u2028\u2029"
 
 
 def _accent_table() -> tuple[str, str]:
@@ -62,7 +62,9 @@ def strip_blank(text: Column) -> Column:
 
 def unify_lines(text: Column) -> Column:
     """One break character for all line ends, and no break after the last line."""
-    return F.regexp_replace(F.regexp_replace(text, OTHER_LINE_BREAKS, "\n"), r"\n\z", "")
+    paired = F.replace(text, F.lit("\r\n"), F.lit("\n"))
+    single = F.translate(paired, OTHER_LINE_BREAKS, "\n" * len(OTHER_LINE_BREAKS))
+    return bind(single, lambda t: F.when(t.endswith("\n"), F.substring(t, F.lit(1), F.length(t) - 1)).otherwise(t))
 
 
 def length_between(text: Column, bounds: tuple[int, int]) -> Column:
