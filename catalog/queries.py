@@ -89,9 +89,9 @@ def _texts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _document_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    schema = spark.read.parquet(f"{sf_dir}/documents.parquet").schema
-    files = spark.readStream.schema(schema).option("pathGlobFilter", "documents.parquet")
-    return as_kafka_rows(files.parquet(sf_dir))
+    batch = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    files = spark.readStream.schema(batch.schema).option("pathGlobFilter", "documents.parquet")
+    return as_kafka_rows(spread(files.parquet(sf_dir), "doc_id", like=batch))
 
 
 # sources and sinks

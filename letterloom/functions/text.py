@@ -18,6 +18,7 @@ ASCII_WHITESPACE = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f "
 
 # The 32 ASCII punctuation characters.
 PUNCTUATION = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
+PUNCTUATION_RUN = r"[!-/:-@\[-`{-~]+"
 
 # The line breaks other than "\n" and the pair "\r\n".
 OTHER_LINE_BREAKS = "\r\x0b\x0c\x1c\x1d\x1e\x85\u2028\u2029"
@@ -72,9 +73,12 @@ def length_between(text: Column, bounds: tuple[int, int]) -> Column:
 
 
 def strip_punctuation(text: Column) -> Column:
-    return F.translate(text, PUNCTUATION, "")
+    return F.regexp_replace(text, PUNCTUATION_RUN, "")
 
 
 def fold_accents(text: Column) -> Column:
-    """Lower-case and drop the accents of Latin letters."""
-    return F.translate(F.lower(text), ACCENTED, UNACCENTED)
+    """Lower-case and drop the accents of Latin letters; ASCII text has none."""
+    return bind(
+        F.lower(text),
+        lambda t: F.when(F.length(t) == F.octet_length(t), t).otherwise(F.translate(t, ACCENTED, UNACCENTED)),
+    )

@@ -12,6 +12,11 @@ from letterloom.functions.tagging import segments
 from letterloom.operators.lookup import BROADCAST_LIMIT_BYTES, Lookup, lookup_join, measure
 
 
+WORD_START = r"^[\p{L}\p{N}_]"
+# Up to this many first words are tested in place, before words become rows.
+MAX_HEAD_LITERALS = 5_000
+
+
 @dataclass(frozen=True)
 class Gazetteer:
     """Known names with their labels, and an index by first word."""
@@ -19,16 +24,18 @@ class Gazetteer:
     names: Lookup
     heads: Lookup
     longest: int
+    head_words: tuple[str, ...] | None
 
 
 def read_gazetteer(table: DataFrame, limit: int = BROADCAST_LIMIT_BYTES) -> Gazetteer:
     """Prepare a (surface, label) table; a surface listed twice keeps its first label.
 
-    A name spans as many segments as its words and the gaps between them.
+    A name starts with a letter, digit or underscore. It spans as many segments
+    as its words and the gaps between them.
     """
     names = (
         table.select(F.btrim("surface").alias("surface"), "label")
-        .where(F.length("surface") > 0)
+        .where(F.col("surface").rlike(WORD_START))
         .groupBy("surface")
         .agg(F.min("label").alias("label"))
     )
@@ -37,7 +44,9 @@ def read_gazetteer(table: DataFrame, limit: int = BROADCAST_LIMIT_BYTES) -> Gaze
     heads = spans.groupBy("head").agg(F.collect_set("span").alias("spans"))
     longest = spans.agg(F.max("span")).first()[0] or 1
     measured = measure(names, limit)
-    return Gazetteer(measured, measured.derive(heads), longest)
+    few = heads.select("head").limit(MAX_HEAD_LITERALS + 1).collect() if measured.fits else []
+    literals = tuple(row[0] for row in few) if 0 < len(few) <= MAX_HEAD_LITERALS else None
+    return Gazetteer(measured, measured.derive(heads), longest, literals)
 
 
 def find_entities(
@@ -46,14 +55,17 @@ def find_entities(
     """(key, field, at, span, size, label) of every place a known name stands.
 
     Each word becomes a row with the few segments after it; words that start no
-    name are dropped by the first join, before longer candidates are formed.
+    name are dropped by the first join, before longer candidates are formed. A
+    short list of first words is tested even before that, inside the text's row.
     """
     texts = F.array(*[F.struct(F.lit(f).alias("field"), F.col(f).alias("text")) for f in fields])
     cut = df.select(*key, F.inline(texts)).select(*key, "field", segments(F.col("text")).alias("segs"))
-    places = F.filter(
-        F.transform("segs", lambda seg, i: F.struct(i.alias("at"), seg.alias("head"))),
-        lambda place: place["head"].rlike(r"^[\p{L}\p{N}_]"),
-    )
+    if gazetteer.head_words is None:
+        test = f"place.head rlike r'{WORD_START}'"
+    else:
+        # Words hold no quotes or backslashes.
+        test = "place.head in ({})".format(", ".join(f"'{word}'" for word in gazetteer.head_words))
+    places = F.expr(f"filter(transform(segs, (seg, i) -> struct(i as at, seg as head)), place -> {test})")
     windows = F.transform(
         places,
         lambda p: F.struct(

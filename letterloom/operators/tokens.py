@@ -35,8 +35,8 @@ def processed_text(
 ) -> DataFrame:
     """(key, field, text): the kept lemmas in order; a text without any is empty.
 
-    Tokens that do not count become null before the join rather than being
-    filtered away, so that every text keeps its row without a second join.
+    The first token of a text stays even if it does not count, so that every
+    text keeps its row without a second join.
     """
     tokens = add_lemmas(explode_tokens(df, key, fields), lemmas)
     usable = tokens.withColumn("lemma", F.when(keeps(F.col("token"), F.col("lemma")), F.col("lemma")))
@@ -44,6 +44,7 @@ def processed_text(
         vocabulary.table.select(F.col("term").alias("lemma"), F.lit(True).alias("known"))
     )
     marked = lookup_join(usable.select(*key, "field", "pos", "lemma"), terms, "lemma", "left")
+    marked = marked.where(F.col("known") | (F.col("pos") == 0))
     ordered = F.array_sort(F.collect_list(F.when(F.col("known"), F.struct("pos", "lemma"))))
     return marked.groupBy(*key, "field").agg(
         F.array_join(F.transform(ordered, lambda t: t["lemma"]), " ").alias("text")
