@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from letterloom.functions.text import constant_list
+from letterloom.functions.text import bind, constant_list, constant_map
 
 # Runs of word characters, and the runs between them.
 SEGMENT = r"[\p{L}\p{N}_]+|[^\p{L}\p{N}_]+"
@@ -70,7 +70,7 @@ def _pick(pool: tuple[str, ...], draw: Column) -> Column:
     return F.get(constant_list(pool), (draw % len(pool)).cast("int"))
 
 
-def _surrogate(label: Column, draw: Column) -> Column:
+def _surrogate(kind: Column, draw: Column) -> Column:
     first = _pick(FIRST_NAMES, draw)
     last = _pick(LAST_NAMES, F.floor(draw / len(FIRST_NAMES)).cast("long"))
     kinds = {
@@ -87,8 +87,8 @@ def _surrogate(label: Column, draw: Column) -> Column:
         "url": F.concat(F.lit("https://www.example.com/"), (draw % 10_000).cast("string")),
     }
     out = F.lit(None).cast("string")
-    for kind, value in kinds.items():
-        out = F.when(label.isin(*[k for k, v in SURROGATE_KIND.items() if v == kind]), value).otherwise(out)
+    for name, value in kinds.items():
+        out = F.when(kind == name, value).otherwise(out)
     return out
 
 
@@ -102,7 +102,11 @@ def fill_surrogates(text: Column, key: Column, salt: str) -> Column:
     def replace(segment: Column, pos: Column) -> Column:
         seed = F.sha2(F.concat_ws("|", F.lit(salt), key.cast("string"), pos.cast("string")), 256)
         draw = F.conv(F.substring(seed, 1, 8), 16, 10).cast("long")
-        return F.coalesce(F.when(segment.isin(*SURROGATE_KIND), _surrogate(segment, draw)), segment)
+        choice = F.struct(
+            F.try_element_at(constant_map(SURROGATE_KIND), segment).alias("kind"), draw.alias("draw")
+        )
+        filled = bind(choice, lambda c: _surrogate(c["kind"], c["draw"]))
+        return F.when(segment.isin(*SURROGATE_KIND), filled).otherwise(segment)
 
     has_tag = text.rlike("|".join(SURROGATE_KIND))
     return F.when(has_tag, F.array_join(F.transform(segments(text), replace), "")).otherwise(text)

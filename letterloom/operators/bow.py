@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from letterloom.functions.text import fold_accents
+from letterloom.functions.tokens import keeps
 from letterloom.operators.lookup import Lookup, lookup_join
 
 # Words of two characters or more.
@@ -23,10 +24,13 @@ def fold_vocabulary(vocabulary: Lookup) -> Lookup:
     return vocabulary.derive(folded)
 
 
+def _words(text: Column) -> Column:
+    return F.regexp_extract_all(fold_accents(text), F.lit(WORD), F.lit(0))
+
+
 def _indexed_words(texts: DataFrame, key: Sequence[str], vocabulary: Lookup, how: str) -> DataFrame:
-    words = F.regexp_extract_all(fold_accents(F.coalesce("text", F.lit(""))), F.lit(WORD), F.lit(0))
     generator = F.explode if how == "inner" else F.explode_outer
-    rows = texts.select(*key, "field", generator(words).alias("word"))
+    rows = texts.select(*key, "field", generator(_words(F.col("text"))).alias("word"))
     return lookup_join(rows, fold_vocabulary(vocabulary), "word", how)
 
 
@@ -39,13 +43,9 @@ def bow_counts(texts: DataFrame, key: Sequence[str], vocabulary: Lookup) -> Data
     return hits.groupBy(*key, "field", "idx").agg(F.count(F.lit(1)).alias("cnt"))
 
 
-def bow_vectors(texts: DataFrame, key: Sequence[str], vocabulary: Lookup) -> DataFrame:
-    """(key, field, indices, values): one sparse row per text, empty ones included."""
-    counted = (
-        _indexed_words(texts, key, vocabulary, "left")
-        .groupBy(*key, "field", "idx")
-        .agg(F.count(F.lit(1)).alias("cnt"))
-    )
+def _sparse_rows(indexed: DataFrame, key: Sequence[str]) -> DataFrame:
+    """Rows of (key, field, idx) to sparse rows; a null index only keeps its text."""
+    counted = indexed.groupBy(*key, "field", "idx").agg(F.count(F.lit(1)).alias("cnt"))
     cells = F.array_sort(F.collect_list(F.when(F.col("idx").isNotNull(), F.struct("idx", "cnt"))))
     return (
         counted.groupBy(*key, "field")
@@ -59,6 +59,33 @@ def bow_vectors(texts: DataFrame, key: Sequence[str], vocabulary: Lookup) -> Dat
     )
 
 
+def bow_vectors(texts: DataFrame, key: Sequence[str], vocabulary: Lookup) -> DataFrame:
+    """(key, field, indices, values): one sparse row per text, empty ones included."""
+    return _sparse_rows(_indexed_words(texts, key, vocabulary, "left"), key)
+
+
+def _term_indices(vocabulary: Lookup) -> Lookup:
+    """(lemma, idxs): the indices a term counts for when it stands in a text."""
+    words = vocabulary.table.select("term", F.explode_outer(_words(F.col("term"))).alias("word"))
+    known = words.join(fold_vocabulary(vocabulary).table, "word", "left")
+    return vocabulary.derive(
+        known.groupBy(F.col("term").alias("lemma")).agg(F.collect_list("idx").alias("idxs"))
+    )
+
+
+def lemma_vectors(lemmatised: DataFrame, key: Sequence[str], vocabulary: Lookup) -> DataFrame:
+    """Sparse rows straight from (key, field, pos, token, lemma).
+
+    The same as counting the processed texts, without putting the texts
+    together: a kept lemma counts for the words it would have in the text.
+    """
+    usable = F.when(keeps(F.col("token"), F.col("lemma")), F.col("lemma"))
+    rows = lemmatised.select(*key, "field", "pos", usable.alias("lemma"))
+    found = lookup_join(rows, _term_indices(vocabulary), "lemma", "left")
+    counting = found.where((F.size("idxs") > 0) | (F.col("pos") == 0))
+    return _sparse_rows(counting.select(*key, "field", F.explode_outer("idxs").alias("idx")), key)
+
+
 def long_texts(df: DataFrame, key: Sequence[str], fields: Sequence[str]) -> DataFrame:
     """(key, field, text) from one text column per field."""
     return df.select(

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from letterloom.functions.tagging import segments
+from letterloom.functions.text import bind
 from letterloom.operators.lookup import BROADCAST_LIMIT_BYTES, Lookup, lookup_join, measure
 
 
@@ -104,9 +105,8 @@ def _keep_longest(matches: Column) -> Column:
     return F.array_sort(F.transform(kept, lambda m: F.struct(m["at"], m["span"], m["label"])))
 
 
-def _rebuild(text: Column, kept: Column) -> Column:
-    """The text with each kept match replaced by its label."""
-    segs = segments(text)
+def _rebuild(segs: Column, kept: Column) -> Column:
+    """The text of the segments with each kept match replaced by its label."""
 
     def end(m: Column) -> Column:
         return m["at"] + m["span"]
@@ -120,6 +120,14 @@ def _rebuild(text: Column, kept: Column) -> Column:
     return F.concat(F.array_join(F.transform(kept, piece), ""), rest)
 
 
+def _label(text: Column, matches: Column) -> Column:
+    """Only texts with a match are cut and joined again."""
+    labelled = bind(
+        _keep_longest(matches), lambda kept: bind(segments(text), lambda segs: _rebuild(segs, kept))
+    )
+    return F.when(F.size(matches) > 0, labelled).otherwise(text)
+
+
 def tag_entities(
     df: DataFrame, key: Sequence[str], fields: Sequence[str], gazetteer: Gazetteer
 ) -> DataFrame:
@@ -138,7 +146,5 @@ def tag_entities(
         return F.filter("_found", lambda m: m["field"] == name)
 
     for name in fields:
-        out = out.withColumn("_kept", _keep_longest(of_field(name))).withColumn(
-            name, F.when(F.size("_kept") > 0, _rebuild(F.col(name), F.col("_kept"))).otherwise(F.col(name))
-        )
+        out = out.withColumn(name, _label(F.col(name), of_field(name)))
     return out.select(*df.columns)

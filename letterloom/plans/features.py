@@ -8,10 +8,10 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from letterloom.operators.bow import bow_vectors
+from letterloom.operators.bow import lemma_vectors
 from letterloom.operators.lookup import Lookup
 from letterloom.operators.ranking import half_split
-from letterloom.operators.tokens import processed_text
+from letterloom.operators.tokens import add_lemmas, explode_tokens
 from letterloom.session import ensure_checkpoint_dir
 
 FIELDS = ("subject", "body")
@@ -49,8 +49,8 @@ def daily_features(
     else:
         rows = half_split(number_rows(messages, key, fields), "row_key")
     row = ("row_id", "split")
-    texts = processed_text(rows, row, fields, lemmas, vocabulary)
-    vectors = bow_vectors(texts, row, vocabulary)
+    lemmatised = add_lemmas(explode_tokens(rows, row, fields), lemmas)
+    vectors = lemma_vectors(lemmatised, row, vocabulary)
     return vectors.select(
         "row_id", F.lit(day).alias("matrix_date"), "field", "split", "indices", "values"
     )

@@ -78,10 +78,11 @@ def _extract(raw: DataFrame, options: MailOptions) -> DataFrame:
     reason = (
         F.when(~F.col("_complete"), "missing_header")
         .when(F.col("body_source.reason").isNotNull(), F.col("body_source.reason"))
+        .when(F.col("body_source.text") == "", "no_body")
         .when(F.col("_body").isNull(), "length_pre")
     )
     return df.select(
-        *raw.columns,
+        *[name for name in raw.columns if name != "value"],
         protect(message_id(header("message-id"), F.col("value"))).alias("message_id"),
         parse_date(header("date")).alias("date"),
         protect(parse_address(header("from"))).alias("from_address"),
@@ -116,7 +117,7 @@ def classify_messages(
 
     ``reason`` is null for an accepted message; the message columns of a
     rejected one are null. The input has the Kafka row columns; others pass
-    through. Batch and streaming use this same function; a gazetteer needs a
+    through, and ``value`` is dropped once it is read. Batch and streaming use this same function; a gazetteer needs a
     batch frame, so a stream passes one inside ``foreachBatch``.
 
     The closing ``stage`` counts the outcomes at no extra pass and keeps later
@@ -129,7 +130,7 @@ def classify_messages(
     df = df.withColumn("reason", F.coalesce(F.col("reason"), F.when(~final, "length_final")))
     accepted = F.col("reason").isNull()
     df = df.select(
-        *raw.columns,
+        *[name for name in raw.columns if name != "value"],
         *[F.when(accepted, F.col(name)).alias(name) for name in MESSAGE_COLUMNS],
         F.to_date("timestamp").alias("processed_date"),
         "reason",

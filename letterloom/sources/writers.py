@@ -11,11 +11,15 @@ from letterloom.operators.records import render_message
 
 
 def write_messages(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
-    """Snappy Parquet, replacing what is there."""
-    writer = df.write.mode("overwrite").option("compression", "snappy")
+    """Snappy Parquet, replacing what is there.
+
+    Before a partitioned write the rows are rebalanced, so that a folder gets a
+    few files of even size rather than one from every task, and a large folder
+    is written by several tasks.
+    """
     if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.parquet(path)
+        df = df.hint("rebalance", *partition_by)
+    df.write.mode("overwrite").option("compression", "snappy").partitionBy(*partition_by).parquet(path)
 
 
 def write_eml_text(df: DataFrame, path: str, buckets: int = 256) -> None:
@@ -36,7 +40,8 @@ def write_features(df: DataFrame, path: str) -> None:
     Only the folders of the dates in ``df`` are replaced.
     """
     (
-        df.write.mode("overwrite")
+        df.hint("rebalance", "matrix_date", "field", "split")
+        .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("matrix_date", "field", "split")
         .parquet(path)

@@ -13,10 +13,9 @@ from email.policy import strict
 from email.utils import mktime_tz, parseaddr, parsedate_tz
 from html.parser import HTMLParser
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from catalog.mail import mail_raw
 from letterloom.functions.headers import SUBJECT_MARKS
 from letterloom.options import HEADER_HINT_PATTERN, SEPARATOR_PATTERN
 
@@ -63,7 +62,6 @@ def parse(raw: str):
     )
 
 
-def message_records_row_udf(spark: SparkSession, sf_dir: str) -> DataFrame:
+def parse_messages(raw: DataFrame) -> DataFrame:
     row = F.udf(parse, FIELDS, useArrow=False)
-    parsed = mail_raw(spark, sf_dir).select("doc_id", row(F.col("value").cast("string")).alias("m"))
-    return parsed.select("doc_id", "m.*")
+    return raw.select("offset", row(F.col("value").cast("string")).alias("m")).select("offset", "m.*")
