@@ -16,10 +16,7 @@ READ_HEADER_LINE = rf"(?is)^({'|'.join(READ_HEADERS)}):[ \t]*(.*)$"
 
 # Reply and forward marks in subjects, matched anywhere and in
 # any case.
-SUBJECT_MARKS = (
-    r"([\[\(] *)?(RE?S?|FYI|RIF|I|FS|VB|RV|ENC|ODP|PD|YNT|ILT|SV|VS|VL|AW|WG|"
-    r"ΑΠ|ΣΧΕΤ|ΠΡΘ|תגובה|הועבר|主题|转发|FWD?) *([-:;)\]][ :;\])-]*|$)|\]+ *$"
-)
+SUBJECT_MARKS = r"([\[\(] *)?(RE?S?|FYI|RIF|I|FS|VB|RV|ENC|ODP|PD|YNT|ILT|SV|VS|VL|AW|WG|ΑΠ|ΣΧΕΤ|ΠΡΘ|תגובה|הועבר|主题|转发|FWD?) *([-:;)\]][ :;\])-]*|$)|\]+ *$"  # noqa: E501
 
 
 def split_message(text: Column) -> Column:

@@ -31,7 +31,7 @@ def write_eml_text(df: DataFrame, path: str, buckets: int = 256) -> None:
         F.concat("eml", F.lit("\n")).alias("value"),
         F.pmod(F.xxhash64("message_id"), F.lit(buckets)).alias("bucket"),
     )
-    rendered.write.mode("overwrite").partitionBy("bucket").text(path)
+    rendered.hint("rebalance", "bucket").write.mode("overwrite").partitionBy("bucket").text(path)
 
 
 def write_features(df: DataFrame, path: str) -> None:

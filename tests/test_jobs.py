@@ -9,6 +9,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
+from letterloom.jobs import run
 from letterloom.operators.entities import read_gazetteer
 from letterloom.operators.lookup import measure
 from letterloom.operators.vocabulary import build_vocabulary
@@ -182,6 +183,22 @@ def test_corpus_run(spark, tmp_path):
     assert text.count("Message-Id: ") == 5
 
 
+def test_command_line(spark, raw, tmp_path):
+    table, out = str(tmp_path / "table"), str(tmp_path / "out")
+    write_messages(accepted_messages(classify_messages(raw)), table, ["processed_date"])
+    (tmp_path / "words.txt").write_text("fox\ndog\n")
+    words = ["--vocabulary", str(tmp_path / "words.txt"), "--day", "2024-05-02"]
+    run(spark, ["features", "--table", table, "--out", out, *words])
+    rows = spark.read.parquet(out)
+    assert rows.count() == 4 and {str(r[0]) for r in rows.select("matrix_date").distinct().collect()} == {"2024-05-02"}
+    (tmp_path / "mail").mkdir()
+    (tmp_path / "mail" / "one").write_bytes(MESSAGES[0])
+    run(spark, ["corpus", "--folder", str(tmp_path / "mail"), "--out", out + "2", *words])
+    assert spark.read.parquet(out + "2/messages").count() == 1
+    with pytest.raises(SystemExit):
+        run(spark, ["stream", "--hosts", "h"])
+
+
 def test_hostile_messages(spark):
     """Nothing a message holds may fail the job."""
     hostile = [

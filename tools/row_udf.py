@@ -8,17 +8,21 @@ timed against the DataFrame plan.
 from __future__ import annotations
 
 import re
+import sys
 from email import message_from_string
 from email.policy import strict
 from email.utils import mktime_tz, parseaddr, parsedate_tz
 from html.parser import HTMLParser
 
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from letterloom.functions.headers import SUBJECT_MARKS
 from letterloom.options import HEADER_HINT_PATTERN, SEPARATOR_PATTERN
 
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 FIELDS = "message_id string, date string, from_address string, to_addresses string, subject string, body string"
 
 
