@@ -10,7 +10,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from letterloom.session import spread
 
 FIRST_SECOND = 1_704_067_200  # 2024-01-01 00:00:00 UTC
 ID = "cast(doc_id as string)"
@@ -125,7 +124,7 @@ def as_kafka_rows(documents: DataFrame) -> DataFrame:
 
 
 def read_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spread(spark.read.parquet(f"{sf_dir}/documents.parquet"), "doc_id")
+    return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
 def mail_raw(spark: SparkSession, sf_dir: str) -> DataFrame:

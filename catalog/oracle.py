@@ -7,9 +7,7 @@ side uses.
 
 from __future__ import annotations
 
-from letterloom.functions.addresses import ADDRESS
 from letterloom.functions.headers import SUBJECT_MARKS
-from letterloom.functions.html import HIDDEN, TAG
 from letterloom.functions.tagging import COUNTRIES, FIRST_NAMES, LAST_NAMES, NUMBER_WORDS
 from letterloom.functions.text import PUNCTUATION, WHITESPACE
 
@@ -59,6 +57,15 @@ def quote_ctes(source: str, text: str, name: str) -> str:
   when last is null then '' else array_to_string(kept[1:last], {NL}) end as unquoted from {name}_d)"""
 
 
+# The SQL side's own patterns.
+ADDRESS = (
+    r"(?i)^([-!#$%&'*+/=?^_`{}|~0-9a-z]+(\.[-!#$%&'*+/=?^_`{}|~0-9a-z]+)*|\"[^\"\\]*\")"
+    r"@(localhost|([a-z0-9]([a-z0-9-]{0,61}[a-z0-9])?\.)+[a-z0-9-]{2,}|\[[0-9]{1,3}(\.[0-9]{1,3}){3}\])$"
+)
+HIDDEN = r"(?is)<!--.*?(-->|\z)|<script.*?(</script>|\z)|<style.*?(</style>|\z)"
+TAG = r"<[A-Za-z/!?]([^<>\"']|\"[^\"<]*\"|'[^'<]*')*>|<[A-Za-z/!?][^>]*>"
+
+
 def html_sql(html: str) -> str:
     text = f"regexp_replace(regexp_replace({html}, {q(HIDDEN)}, '', 'g'), {q(TAG)}, '', 'g')"
     for name, char in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&nbsp;", "\xa0"), ("&copy;", "©"), ("&middot;", "·"), ("&amp;", "&")):
@@ -227,7 +234,10 @@ lemmas(token, lemma) as (values {", ".join(f"({q(a)}, {q(b)})" for a, b in LEMMA
 lemmatised as (select t.*, coalesce(l.lemma, {STEM.replace("token", "t.token")}) as lemma
   from tokens t left join lemmas l on t.token = l.token)"""
 
-KEEPS = r"""not (regexp_matches(token, '^[+-]?[0-9]+$')
+KEEPS = r"""not (regexp_matches(token, '^[+-]?[0-9]+$') or token in ('zero', 'one', 'two', 'three', 'four', 'five',
+  'six', 'seven', 'eight', 'nine', 'ten', 'eleven', 'twelve', 'thirteen', 'fourteen', 'fifteen', 'sixteen', 'seventeen',
+  'eighteen', 'nineteen', 'twenty', 'thirty', 'forty', 'fifty', 'sixty', 'seventy', 'eighty', 'ninety', 'hundred', 'thousand',
+  'million', 'billion', 'trillion')
   or regexp_matches(token, '^[a-zA-Z0-9_.+-]+@[a-zA-Z0-9-]+\.[a-zA-Z0-9-.]+')
   or regexp_matches(token, '(?i)^(?:https?|ftp)(?:://)?|^www')) and length(lemma) >= 3"""
 
@@ -384,6 +394,8 @@ union all select doc_id, 2, 1, 0, 'text/html', 'utf-8', html, null from mail whe
     "quote_strip": f"{MAIL_TEXTS}, {quote_ctes('mail', 'full_text', 'quotes')} select doc_id, unquoted as body from quotes",
     # anonymisation
     "salted_hash": f"{MAIL_TEXTS} select doc_id, {hash_sql('full_text')} as hash from mail",
+    "salted_hash_pbkdf2": f"""{MAIL_TEXTS} select doc_id, full_text is not null as formed,
+  min(doc_id) over (partition by full_text) as first_doc_id from mail""",
     "address_hash": from_mail(f"doc_id, {address_hash_sql('from_address')} as address"),
     "entity_tag": f"with {entity_ctes('documents', 'doc_id', 'text', 'names')} select doc_id, tagged as text from names",
     "pattern_tag": f"{MAIL_TEXTS} select doc_id, {tag_sql('full_text')} as text from mail",

@@ -35,7 +35,7 @@ from letterloom.options import FINAL_GATE, PRE_GATE, MailOptions
 from letterloom.plans.features import daily_features
 from letterloom.plans.messages import accepted_messages, classify_messages, clean_body, rejected_messages
 from letterloom.schemas import MESSAGE_COLUMNS
-from letterloom.session import apply_runtime_conf, spread, work_path
+from letterloom.session import apply_runtime_conf, work_path
 from letterloom.sources.readers import read_day, read_mail_dir, read_messages, read_vocabulary
 from letterloom.sources.writers import write_features, write_messages
 from letterloom.streaming.ingest import ingest_stream, write_outcome_stream
@@ -91,7 +91,7 @@ def _texts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _document_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     batch = spark.read.parquet(f"{sf_dir}/documents.parquet")
     files = spark.readStream.schema(batch.schema).option("pathGlobFilter", "documents.parquet")
-    return as_kafka_rows(spread(files.parquet(sf_dir), "doc_id", like=batch))
+    return as_kafka_rows(files.parquet(sf_dir))
 
 
 # sources and sinks
@@ -355,7 +355,7 @@ def length_gate_final(spark, sf_dir):
 
 @query
 def html_to_text(spark, sf_dir):
-    pages = spread(spark.read.parquet(f"{sf_dir}/pages.parquet"), "page_id")
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
     return pages.select("page_id", html_text(F.col("html")).alias("text"))
 
 
@@ -374,7 +374,11 @@ def salted_hash(spark, sf_dir):
 
 @query
 def salted_hash_pbkdf2(spark, sf_dir):
-    return _texts(spark, sf_dir).select("doc_id", keyed_hash(F.col("full_text"), SALT, "pbkdf2").alias("hash"))
+    """SQL has no SHA-512: it checks the hashes' form and that they are equal where texts are."""
+    rows = _texts(spark, sf_dir).select("doc_id", keyed_hash(F.col("full_text"), SALT, "pbkdf2").alias("hash"))
+    first = rows.groupBy("hash").agg(F.min("doc_id").alias("first_doc_id"))
+    formed = F.coalesce(F.col("hash"), F.lit("")).rlike("^[0-9a-f]{16}$").alias("formed")
+    return rows.join(first, "hash").select("doc_id", formed, "first_doc_id")
 
 
 @query

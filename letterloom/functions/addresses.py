@@ -9,17 +9,58 @@ from pyspark.sql import functions as F
 
 from letterloom.functions.text import bind
 
-# dot-atom or quoted local part; dotted domain, IPv4 literal or localhost
-ADDRESS = (
-    r"(?i)^([-!#$%&'*+/=?^_`{}|~0-9a-z]+(\.[-!#$%&'*+/=?^_`{}|~0-9a-z]+)*|\"[^\"\\]*\")"
-    r"@(localhost|([a-z0-9]([a-z0-9-]{0,61}[a-z0-9])?\.)+[a-z0-9-]{2,}|\[\d{1,3}(\.\d{1,3}){3}\])$"
-)
-# One list item: text up to a comma that stands outside quotes.
-LIST_ITEM = r'[^,"]*(?:"[^"]*"[^,"]*)*'
+# Patterns without repeated groups: Java walks those by recursion, and a long header would
+# exhaust the stack.
+SIDES = r"(?s)^(\"[^\"\\]*\"|[^\"@]+)@([^@]+)$"
+DOT_ATOM = r"(?i)^[-!#$%&'*+/=?^_`{}|~0-9a-z.]+$"
+LABEL = r"(?i)^[a-z0-9-]+$"
+LITERAL = r"^\[\d{1,3}\.\d{1,3}\.\d{1,3}\.\d{1,3}\]$"
+#: Stands between list items; a code point that is no character.
+ITEM_END = "\ufdd0"
+
+
+def _dotted(domain: Column) -> Column:
+    """Two labels or more; those before the last have 63 characters at most and no hyphen at an end."""
+
+    def all_good(labels: Column) -> Column:
+        def good(label: Column, pos: Column) -> Column:
+            inner = (F.length(label) <= 63) & ~label.startswith("-") & ~label.endswith("-")
+            return label.rlike(LABEL) & F.when(pos < F.size(labels) - 1, inner).otherwise(F.length(label) >= 2)
+
+        return (F.size(labels) >= 2) & F.forall(F.transform(labels, good), lambda ok: ok)
+
+    return bind(F.split(domain, r"\."), all_good)
 
 
 def is_address(text: Column) -> Column:
-    return text.rlike(ADDRESS)
+    """A dot-atom or quoted local part at a dotted domain, an IPv4 literal or localhost."""
+    local, domain = F.regexp_extract(text, SIDES, 1), F.regexp_extract(text, SIDES, 2)
+
+    def holds(sides: Column) -> Column:
+        local, domain = sides["local"], sides["domain"]
+        edges = local.startswith(".") | local.endswith(".") | F.contains(local, F.lit(".."))
+        named = (local.rlike(DOT_ATOM) & ~edges) | local.startswith('"')
+        return named & ((F.lower(domain) == "localhost") | domain.rlike(LITERAL) | _dotted(domain))
+
+    return bind(F.struct(local.alias("local"), domain.alias("domain")), holds)
+
+
+def list_items(text: Column) -> Column:
+    """The header cut at commas outside quotes; a quote without a partner ends an item."""
+
+    def marked(runs: Column) -> Column:
+        def rebuilt(run: Column, pos: Column) -> Column:
+            outside = F.replace(run, F.lit(","), F.lit(ITEM_END))
+            return (
+                F.when(pos % 2 == 0, outside)
+                .when(pos == F.size(runs) - 1, F.concat(F.lit(ITEM_END), outside))
+                .otherwise(F.concat(F.lit('"'), run, F.lit('"')))
+            )
+
+        return F.array_join(F.transform(runs, rebuilt), "")
+
+    items = F.split(bind(F.split(text, '"'), marked), ITEM_END)
+    return F.filter(items, lambda item: F.length(item) > 0)
 
 
 def parse_address(text: Column) -> Column:
@@ -41,8 +82,7 @@ def parse_address(text: Column) -> Column:
 
 def valid_addresses(text: Column, then: Callable[[Column], Column] = lambda address: address) -> Column:
     """Valid addresses of a list header in order, each passed through ``then``."""
-    items = F.filter(F.regexp_extract_all(text, F.lit(LIST_ITEM), F.lit(0)), lambda i: F.length(i) > 0)
-    found = F.filter(F.transform(items, parse_address), lambda a: a.isNotNull())
+    found = F.filter(F.transform(list_items(text), parse_address), lambda a: a.isNotNull())
     return F.transform(found, then)
 
 

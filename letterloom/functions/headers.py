@@ -78,7 +78,7 @@ def clean_subject(subject: Column, anchored: bool = False) -> Column:
     """
     subject = F.coalesce(subject, F.lit(""))
     if anchored:
-        return F.regexp_replace(subject, rf"(?iu)^(?:(?:{SUBJECT_MARKS}) *){{1,50}}", "")
+        return F.regexp_replace(subject, rf"(?iu)^(?:(?:{SUBJECT_MARKS}) *)++", "")
     return F.regexp_replace(subject, f"(?iu){SUBJECT_MARKS}", "")
 
 

@@ -2,21 +2,21 @@
 
 from __future__ import annotations
 
-from html.entities import name2codepoint
+from html.entities import html5
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from letterloom.functions.text import bind, constant_map, strip_blank
 
-# Comments, and elements whose text is not shown.
-HIDDEN = r"(?is)<!--.*?-->|<script\b.*?</script\s*>|<style\b.*?</style\s*>"
+# Comments, and elements whose text is not shown; one that is not closed reaches to the end.
+HIDDEN = r"(?is)<!--.*?(?:-->|\z)|<script\b.*?(?:</script\s*+>|\z)|<style\b.*?(?:</style\s*+>|\z)"
 # A tag may hold ">" inside quoted attributes; an unbalanced quote ends at ">".
 TAG = (
-    r"""<[a-zA-Z/!?][^<>"']*(?:"[^"<]*"[^<>"']*|'[^'<]*'[^<>"']*)*>"""
+    r"""<[a-zA-Z/!?][^<>"']*+(?:"[^"<]*+"[^<>"']*+|'[^'<]*+'[^<>"']*+)*+>"""
     r"""|<[a-zA-Z/!?][^>]*>"""
 )
-ENTITY = r"^(?:#([0-9]{1,7});?|#[xX]([0-9a-fA-F]{1,6});?|([A-Za-z][A-Za-z0-9]*);)"
+ENTITY = r"^(?:#([0-9]++);?|#[xX]([0-9a-fA-F]++);?|([A-Za-z][A-Za-z0-9]*+);)"
 
 
 def _code_point(number: Column) -> Column:
@@ -28,14 +28,19 @@ def _code_point(number: Column) -> Column:
 
 def unescape(text: Column) -> Column:
     """Replace character references. Text without "&" is left as it is."""
-    named = constant_map({name: chr(code) for name, code in name2codepoint.items()})
+    named = constant_map({name[:-1]: char for name, char in html5.items() if name.endswith(";")})
+
+    def number(digits: Column, base: int, most: int) -> Column:
+        """The value of all the digits; more of them than any character has give no character."""
+        bare = F.ltrim(digits, F.lit("0"))
+        return F.when(F.length(bare) > most, -1).otherwise(F.conv(F.concat(F.lit("0"), bare), base, 10).cast("long"))
 
     def after_ampersand(piece: Column) -> Column:
         decimal = F.regexp_extract(piece, ENTITY, 1)
         hexadecimal = F.regexp_extract(piece, ENTITY, 2)
         char = (
-            F.when(decimal != "", _code_point(decimal.cast("long")))
-            .when(hexadecimal != "", _code_point(F.conv(hexadecimal, 16, 10).cast("long")))
+            F.when(decimal != "", _code_point(number(decimal, 10, 7)))
+            .when(hexadecimal != "", _code_point(number(hexadecimal, 16, 6)))
             .otherwise(F.try_element_at(named, F.regexp_extract(piece, ENTITY, 3)))
         )
         return F.coalesce(

@@ -10,10 +10,11 @@ from letterloom.functions.text import bind, constant_list, constant_map
 # Runs of word characters, and the runs between them.
 SEGMENT = r"[\p{L}\p{N}_]+|[^\p{L}\p{N}_]+"
 
-EMAIL = r"(?<![A-Za-z0-9_.+-])[A-Za-z0-9_.+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+"
+# Repeated groups are possessive, which Java walks in a loop; others take a stack frame for each turn.
+EMAIL = r"(?<![A-Za-z0-9_.+-])[A-Za-z0-9_.+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++"
 URL = (
     r"(?i)(?:https?|ftp)://[^\s<>\"']+"
-    r"|(?<![a-z0-9.@-])(?:www\.[^\s<>\"']+|(?:[a-z0-9-]+\.)+(?:com|org|net|edu|gov|info)(?![a-z0-9-]))"
+    r"|(?<![a-z0-9.@-])(?:www\.[^\s<>\"']+|[a-z0-9-][a-z0-9.-]*\.(?:com|org|net|edu|gov|info)(?![a-z0-9-]))"
 )
 # The words that count as numbers.
 NUMBER_WORDS = (
@@ -22,7 +23,8 @@ NUMBER_WORDS = (
     "nineteen", "twenty", "thirty", "forty", "fifty", "sixty", "seventy", "eighty", "ninety",
     "hundred", "thousand", "million", "billion", "trillion",
 )
-DIGITS = r"[+-]?\d+(?:[.,/:]\d+)*"
+BORDER = r"(?![\p{L}\p{N}_])"
+DIGITS = rf"[+-]?\d++{BORDER}(?:[.,/:]\d++{BORDER})*+"
 
 # Every tag, and the kind of surrogate that stands in for it.
 SURROGATE_KIND = {

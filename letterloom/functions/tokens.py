@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from letterloom.functions.tagging import NUMBER_WORDS
 from letterloom.functions.text import ASCII_WHITESPACE, strip_punctuation
 
 MAIL_LIKE = r"^[a-zA-Z0-9_.+-]+@[a-zA-Z0-9-]+\.[a-zA-Z0-9-.]+"
@@ -46,8 +47,9 @@ def plural_stem(token: Column) -> Column:
 
 
 def is_number_like(token: Column) -> Column:
-    """Digits with an optional sign, all of which sort before a colon."""
-    return (token < ":") & token.rlike(r"^[+-]?\d+$")
+    """Digits with an optional sign, which sort before a colon, a fraction of them, or a number word."""
+    digits = (token < ":") & F.translate(token, ",.", "").rlike(r"^[+-]?\d+(?:/\d+)?$")
+    return digits | F.lower(token).isin(*NUMBER_WORDS)
 
 
 def is_mail_like(token: Column) -> Column:

@@ -58,15 +58,3 @@ def stage(df: DataFrame, label: str, *counts: Column) -> DataFrame:
     observed metrics, so costly columns are evaluated once.
     """
     return df.observe(f"{label}-{uuid.uuid4().hex}", F.count(F.lit(1)).alias("rows"), *counts)
-
-
-def spread(df: DataFrame, key: str, like: DataFrame | None = None) -> DataFrame:
-    """Hash a scan over all cores when it has fewer partitions than cores.
-
-    A large input has more splits than cores and is left as it is. A stream is
-    judged by ``like``, a batch frame over the same files.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if (like or df).rdd.getNumPartitions() >= cores:
-        return df
-    return df.repartition(cores, key)

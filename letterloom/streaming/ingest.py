@@ -14,7 +14,7 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from letterloom.operators.entities import Gazetteer
 from letterloom.options import MailOptions
-from letterloom.plans.messages import ROW_KEY, accepted_messages, classify_messages
+from letterloom.plans.messages import ROW_KEY, accepted_messages, classify_messages, rejected_messages
 
 # Fixed value: how often the sink commits.
 TRIGGER = "6 minutes"
@@ -79,28 +79,47 @@ def ingest_stream_with_entities(
     gazetteer: Gazetteer,
     every: str | None = TRIGGER,
 ) -> StreamingQuery:
-    """The same with entity tagging, which joins and so works batch by batch.
+    """The same with entity tagging, which joins and so works batch by batch."""
+    return ingest_stream_in_batches(raw, path, checkpoint, options, gazetteer, every)
 
-    A batch that is run again replaces its own ``batch_id`` folder.
+
+def ingest_stream_in_batches(
+    raw: DataFrame,
+    path: str,
+    checkpoint: str,
+    options: MailOptions,
+    gazetteer: Gazetteer | None = None,
+    every: str | None = TRIGGER,
+    rejects: str | None = None,
+) -> StreamingQuery:
+    """Accepted messages to ``path`` and, if named, the others to ``rejects``, with or without a gazetteer.
+
+    A batch that is run again replaces its own ``batch_id`` folders.
     """
     query = raw.writeStream.option("checkpointLocation", checkpoint).foreachBatch(
-        tagged_batch_writer(path, options, gazetteer)
+        tagged_batch_writer(path, options, gazetteer, rejects)
     )
     return _trigger(query, every).start()
 
 
 def tagged_batch_writer(
-    path: str, options: MailOptions, gazetteer: Gazetteer
+    path: str, options: MailOptions, gazetteer: Gazetteer | None, rejects: str | None = None
 ) -> Callable[[DataFrame, int], None]:
-    def write(batch: DataFrame, batch_id: int) -> None:
-        outcomes = classify_messages(batch, options, gazetteer)
+    def put(rows: DataFrame, batch_id: int, folder: str) -> None:
         (
-            accepted_messages(outcomes, options.null_rows)
-            .withColumn("batch_id", F.lit(batch_id).cast("long"))
+            rows.withColumn("batch_id", F.lit(batch_id).cast("long"))
             .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
             .partitionBy("batch_id", "processed_date")
-            .parquet(path)
+            .parquet(folder)
         )
 
+    def write(batch: DataFrame, batch_id: int) -> None:
+        outcomes = classify_messages(batch, options, gazetteer)
+        if rejects:
+            outcomes = outcomes.persist()  # both writes read it; a part that is lost is made again
+            put(rejected_messages(outcomes), batch_id, rejects)
+        put(accepted_messages(outcomes, options.null_rows), batch_id, path)
+        outcomes.unpersist()
+
     return write

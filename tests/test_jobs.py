@@ -183,7 +183,7 @@ def test_corpus_run(spark, tmp_path):
     assert text.count("Message-Id: ") == 5
 
 
-def test_command_line(spark, raw, tmp_path):
+def test_command_line(spark, raw, tmp_path, monkeypatch):
     table, out = str(tmp_path / "table"), str(tmp_path / "out")
     write_messages(accepted_messages(classify_messages(raw)), table, ["processed_date"])
     (tmp_path / "words.txt").write_text("fox\ndog\n")
@@ -195,12 +195,24 @@ def test_command_line(spark, raw, tmp_path):
     (tmp_path / "mail" / "one").write_bytes(MESSAGES[0])
     run(spark, ["corpus", "--folder", str(tmp_path / "mail"), "--out", out + "2", *words])
     assert spark.read.parquet(out + "2/messages").count() == 1
+    monkeypatch.setenv("DO_CONTENT_TAGGING", "true")
+    monkeypatch.setenv("DO_ADDRESS_HASHING", "true")
+    corpus = ["corpus", "--folder", str(tmp_path / "mail"), "--out", out + "3", *words, "--salt", "s"]
+    with pytest.raises(SystemExit):  # names would stay in the clear
+        run(spark, corpus)
+    (tmp_path / "mail" / "two").write_bytes(b"To: a@b.co")
+    spark.createDataFrame([("fox", "PERSON")], "surface string, label string").write.parquet(str(tmp_path / "names"))
+    run(spark, [*corpus, "--gazetteer", str(tmp_path / "names"), "--rejects", out + "4"])
+    (row,) = spark.read.parquet(out + "3/messages").collect()
+    assert "fox" not in row["body"].split() and not row["from_address"].endswith("@example.com")
+    assert [r["reason"] for r in spark.read.parquet(out + "4").collect()] == ["missing_header"]
     with pytest.raises(SystemExit):
         run(spark, ["stream", "--hosts", "h"])
 
 
 def test_hostile_messages(spark):
     """Nothing a message holds may fail the job."""
+    many = 100_000
     hostile = [
         b"", b"\n", b"\x00", b":", b"\xff\xfe" * 50, b"From: a\nTo: b\nSubject: c", HEAD.encode() + b"Date: " + b"9" * 500 + b"\n\nx",
         HEAD.encode() + b"Content-Type: multipart/mixed; boundary=\n\n--\n--", HEAD.encode() + b"Content-Type: /;;=\n\nx",
@@ -208,6 +220,9 @@ def test_hostile_messages(spark):
         HEAD.encode() + b"Content-Type: text/html\n\n" + b"<a href='" * 500, HEAD.encode() + b"\n" + b"&#x110000;" * 100,
         HEAD.encode() + b"Content-Type: text/html\n\n" + b"&#xD800;&#99999999; " * 100,
         b"Subject: =?utf-8?B?!!!?=\nFrom: =?x?q?=\nTo: =?utf-8?Q?=ZZ?=\n\n" + LONG.encode(),
+        *(b"From: a@b.co\nSubject: x\nTo: " + to for to in (b"a." * many + b"a@b.co", b"a@" + b"b." * many + b"co", b'"q" ' * many + b"x@y.co", b'"' + b"," * many)),
+        *((HEAD + "\n" + body).encode() for body in ("x " * 200 + "a@b" + ".c" * 1500, "x " * 200 + "www" + ".c" * 1500 + ".com", "x " * 200 + "1" + ".2" * 2000)),
+        *((HEAD + "Content-Type: text/html\n\n" + "x " * 200 + body).encode() for body in ("<a" + " b='c'" * 600 + ">", "<a" + ' b="c"' * 600, "<script>" * 500, "&#" + "9" * 3000)),
         HEAD.encode() + b"\n" + b"a@" * 2000, HEAD.encode() + b"\n" + b"(" * 3000 + b"> " * 500,
     ]
     options = MailOptions(tag_content=True, fill_surrogates=True, hash_addresses=True, salt="s")

@@ -11,59 +11,61 @@ import re
 import sys
 from email import message_from_string
 from email.policy import strict
-from email.utils import mktime_tz, parseaddr, parsedate_tz
+from email.utils import getaddresses, mktime_tz, parsedate_tz
 from html.parser import HTMLParser
 
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from letterloom.functions.headers import SUBJECT_MARKS
-from letterloom.options import HEADER_HINT_PATTERN, SEPARATOR_PATTERN
+from letterloom.functions.headers import REQUIRED_HEADERS, SUBJECT_MARKS
+from letterloom.options import FINAL_GATE, HEADER_HINT_PATTERN, PRE_GATE, SEPARATOR_PATTERN
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-FIELDS = "message_id string, date string, from_address string, to_addresses string, subject string, body string"
+FIELDS = (
+    "message_id string, date string, from_address string, to_addresses string, cc_addresses string, bcc_addresses string, "
+    "subject string, body string"
+)
+
+
+BREAK = re.compile(rf"(?m)^.*(?:{SEPARATOR_PATTERN}|(?i:{HEADER_HINT_PATTERN}))")
+QUOTED = re.compile(r"(?s)\n(?:>[^\n]*|On [^\n]* wrote:)(?:\n.*)?$")
+
+
+def _shown(markup: str) -> str:
+    texts: list[str] = []
+    reader = HTMLParser()
+    reader.handle_data = texts.append
+    reader.feed(markup)
+    return "".join(texts).strip()
+
+
+def _body(message) -> str | None:
+    """The text before the first break line, if its length passes both gates."""
+    part = message.get_body()
+    if part is None:
+        return None
+    text = BREAK.split("\n".join(part.get_content().splitlines()), maxsplit=1)[0].removesuffix("\n")
+    if not PRE_GATE[0] <= len(text) <= PRE_GATE[1]:
+        return None
+    text = QUOTED.sub("", _shown(text) if part.get_content_subtype() == "html" else text)
+    return text if FINAL_GATE[0] <= len(text) <= FINAL_GATE[1] else None
 
 
 def parse(raw: str):
-    hit = re.compile(rf"{SEPARATOR_PATTERN}|(?i:{HEADER_HINT_PATTERN})")
     try:
         message = message_from_string(raw.strip(), policy=strict)
-        headers = {name.lower(): value for name, value in message.raw_items()}
-        if not {"to", "from", "subject"} <= headers.keys():
-            return None
-        part = message.get_body()
-        text = part.get_content() if part is not None else None
-    except Exception:
-        return None
-    if not text:
-        return None
-    lines = []
-    for line in text.splitlines():
-        if hit.search(line):
-            break
-        lines.append(line)
-    body = "\n".join(lines)
-    if not 250 <= len(body) <= 5000:
+        body = _body(message)
+    except Exception:  # a defect: the message is left out
         return None
-    if "html" in part.get_content_subtype():
-        pieces = []
-        parser = HTMLParser()
-        parser.handle_data = pieces.append
-        parser.feed(body)
-        body = "".join(pieces).strip()
-    if not 200 <= len(body) <= 50000:
+    head = {name.lower(): str(value) for name, value in message.raw_items()}
+    if body is None or any(name not in head for name in REQUIRED_HEADERS):
         return None
-    sent = parsedate_tz(headers.get("date", ""))
-    return (
-        headers.get("message-id", ""),
-        str(mktime_tz(sent)) if sent else "None",
-        parseaddr(headers["from"])[1],
-        ", ".join(parseaddr(a)[1] for a in headers["to"].split(", ")),
-        re.sub(SUBJECT_MARKS, "", headers["subject"], flags=re.IGNORECASE),
-        body,
-    )
+    people = [", ".join(a for _, a in getaddresses([head.get(name, "")]) if "@" in a) for name in ("from", "to", "cc", "bcc")]
+    when = parsedate_tz(head.get("date", ""))
+    subject = re.sub(f"(?i){SUBJECT_MARKS}", "", head["subject"])
+    return (head.get("message-id", ""), str(mktime_tz(when)) if when else None, *people, subject, body)
 
 
 def parse_messages(raw: DataFrame) -> DataFrame:
