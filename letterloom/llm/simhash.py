@@ -60,23 +60,20 @@ def fingerprints(documents: DataFrame, key: str = "doc_id", text: str = "text",
     return cut(documents.select(F.col(key).alias(key), of(F.col(text)).alias("fp")))
 
 
-def _spanning(left: np.ndarray, right: np.ndarray, radius: int, same: bool) -> tuple[np.ndarray, np.ndarray]:
-    """Links that join what links within the radius join, at most one per fingerprint.
-
-    All links of two tiles may be as many as their product. Only which fingerprints hang together
-    matters, so each is linked to the smallest position it reaches inside the two tiles.
-    """
-    both = left if same else np.concatenate([left, right])
-    shift = 0 if same else len(left)
-    label = np.arange(len(both))
+def _hits(left: np.ndarray, right: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
+    """Positions (i, j) of all fingerprints within the radius, in blocks of about a million pairs."""
     step = max(1, (1 << 20) // max(1, len(right)))
-    hits = []
-    for at in range(0, len(left), step):
-        near = np.bitwise_count(left[at : at + step, None] ^ right[None, :]) <= radius
-        i, j = np.nonzero(near)
-        i, j = i + at, j + shift
-        hits.append(np.stack([i, j])[:, i != j])
-    i, j = np.concatenate(hits, axis=1)
+    found = [
+        np.stack(np.nonzero(np.bitwise_count(left[at : at + step, None] ^ right[None, :]) <= radius)) + [[at], [0]]
+        for at in range(0, len(left), step)
+    ]
+    i, j = np.concatenate(found, axis=1)
+    return i, j
+
+
+def _labels(i: np.ndarray, j: np.ndarray, count: int) -> np.ndarray:
+    """For each of ``count`` positions the smallest one that the links (i, j) lead to."""
+    label = np.arange(count)
     while len(i):
         before = label.copy()
         np.minimum.at(label, i, label[j])
@@ -84,8 +81,33 @@ def _spanning(left: np.ndarray, right: np.ndarray, radius: int, same: bool) -> t
         label = label[label]
         if np.array_equal(before, label):
             break
-    moved = np.nonzero(label != np.arange(len(both)))[0]
-    return both[moved], both[label[moved]]
+    return label
+
+
+def forest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Links with the same closure as (a, b), at most one per value."""
+    values, at = np.unique(np.concatenate([a, b]), return_inverse=True)
+    label = _labels(at[: len(a)], at[len(a) :], len(values))
+    moved = np.nonzero(label != np.arange(len(values)))[0]
+    return values[moved], values[label[moved]]
+
+
+def _spanning(left: np.ndarray, right: np.ndarray, radius: int, same: bool) -> tuple[np.ndarray, np.ndarray]:
+    """Links that join, with those inside each tile, what links within the radius join.
+
+    All links of two tiles may be as many as their product. Only which fingerprints hang together
+    matters: what hangs together in one tile, its comparison with itself links, so two tiles need a link
+    between such groups only.
+    """
+    i, j = _hits(left, right, radius)
+    if same or len(i) < 2:
+        return forest(left[i], right[j]) if same else (left[i], right[j])
+    ends = []
+    for tile, at in ((left, i), (right, j)):
+        own, place = np.unique(at, return_inverse=True)
+        label = _labels(*_hits(tile[own], tile[own], radius), len(own))
+        ends.append(tile[own][label[place]])
+    return forest(*ends)
 
 
 def near_links(prints: DataFrame, radius: int = 3, tile: int = 2048) -> DataFrame:
@@ -116,22 +138,27 @@ def near_links(prints: DataFrame, radius: int = 3, tile: int = 2048) -> DataFram
     pairs = pairs.select("left", F.col("fps").alias("right"), F.expr("move = 0 and left_part = part").alias("same"))
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple[np.ndarray, np.ndarray]] = []
+        size = 0
+
+        def flush() -> pa.RecordBatch:
+            u, v = forest(*(np.concatenate(side) for side in zip(*held)))
+            return pa.RecordBatch.from_arrays([pa.array(u.view(np.int64)), pa.array(v.view(np.int64))], ["a", "b"])
+
         for batch in batches:
-            a, b = [], []
-            ends = []
-            for name in ("left", "right"):
-                column = batch.column(name)
-                ends.append((column.offsets.to_numpy(), column.values.to_numpy()))
-            (at, left), (to, right) = ends
+            (at, left), (to, right) = (
+                (c.offsets.to_numpy(), c.values.to_numpy().view(np.uint64)) for c in map(batch.column, ("left", "right"))
+            )
             for k, same in enumerate(batch.column("same").to_pylist()):
-                one = left[at[k] : at[k + 1]].view(np.uint64)
-                two = right[to[k] : to[k + 1]].view(np.uint64)
-                u, v = _spanning(one, two, radius, same)
-                if len(u):
-                    a.append(u.view(np.int64))
-                    b.append(v.view(np.int64))
-            if a:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(a)), pa.array(np.concatenate(b))], ["a", "b"])
+                links = _spanning(left[at[k] : at[k + 1]], right[to[k] : to[k + 1]], radius, same)
+                if len(links[0]):
+                    held.append(links)
+                    size += len(links[0])
+            if size > 1_000_000:
+                yield flush()
+                held, size = [], 0
+        if held:
+            yield flush()
 
     return pairs.mapInArrow(compare, "a long, b long")
 
