@@ -22,8 +22,8 @@ class GraphOptions:
     ``shard_rows`` vectors per centroid on average, of which there are ``most_centroids`` at most, fitted
     on ``sample`` vectors at most; each vector goes to ``overlap`` shards. A shard with more than
     ``largest`` vectors is split into chunks and each two chunks make a shard, so all its pairs stay.
-    ``near``, ``degree``, ``far`` and ``stretch``: candidates, kept edges, random edges and the factor of
-    the pruning rule. ``beam``: of the greedy search. ``slack``: range expansion passes through vectors
+    ``near``, ``degree``, ``far``, ``width`` and ``stretch``: candidates, kept edges, random edges, the most
+    edges after reverse ones and other shards' are added, and the factor of the pruning rule. ``beam``: of the greedy search. ``slack``: range expansion passes through vectors
     that are this much less similar than a link.
     """
 
@@ -32,10 +32,11 @@ class GraphOptions:
     most_centroids: int = 1_024
     sample: int = 30_000
     overlap: int = 3
-    largest: int = 6_000
+    largest: int = 4_000
     near: int = 40
     degree: int = 20
     far: int = 4
+    width: int = 48
     stretch: float = 1.2
     beam: int = 16
     slack: float = 0.05
@@ -149,16 +150,23 @@ def prune(x: np.ndarray, part: np.ndarray, near: np.ndarray, options: GraphOptio
     return edges
 
 
-def _table(edges: list[tuple[np.ndarray, np.ndarray]], count: int) -> np.ndarray:
-    """Adjacency lists as rows of equal length; a node's own number where its list has ended."""
+def _table(edges: list[tuple[np.ndarray, np.ndarray]], count: int, width: int) -> np.ndarray:
+    """Adjacency lists as rows of equal length; a node's own number where its list has ended.
+
+    Of more than ``width`` edges of a node, a random choice stays: those of hubs lead back to it anyway.
+    """
     if not edges:
         return np.arange(count)[:, None]
     pairs = np.unique(np.concatenate([a * count + b for a, b in edges]))
+    pairs = np.random.default_rng(count).permutation(pairs)
+    pairs = pairs[np.argsort(pairs // count, kind="stable")]
     a, b = pairs // count, pairs % count
     a, b = a[a != b], b[a != b]
     sizes = np.bincount(a, minlength=count)
-    table = np.repeat(np.arange(count)[:, None], max(1, sizes.max(initial=1)), axis=1)
-    table[a, np.arange(len(a)) - np.repeat(np.cumsum(sizes) - sizes, sizes)] = b
+    place = np.arange(len(a)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+    table = np.repeat(np.arange(count)[:, None], min(width, max(1, sizes.max(initial=1))), axis=1)
+    kept = place < table.shape[1]
+    table[a[kept], place[kept]] = b[kept]
     return table
 
 
@@ -265,7 +273,7 @@ def graph_links(assigned: DataFrame, options: GraphOptions) -> DataFrame:
     def lists(group: pd.DataFrame) -> pd.DataFrame:
         ids = group["id"].to_numpy()
         x = np.stack(group["v"].to_list()).astype(np.float32)
-        table = _table(build_graph(x, options), len(x))
+        table = _table(build_graph(x, options), len(x), options.width)
         own = table == np.arange(len(x))[:, None]
         return pd.DataFrame({"id": ids, "near": [ids[row[~mine]] for row, mine in zip(table, own)]})
 
@@ -283,27 +291,25 @@ def graph_links(assigned: DataFrame, options: GraphOptions) -> DataFrame:
         at = np.minimum(np.searchsorted(ids, flat), count - 1)
         inside = ids[at] == flat  # lists of other shards name vectors that are not here
         start = np.repeat(np.arange(count), [len(n) for n in near])
-        table = _table([(start[inside], at[inside])], count)
+        table = _table([(start[inside], at[inside])], count, options.width)
         close = range_search(x, table, medoids(x, clusters[:, 0]), options)
-        i, j = np.nonzero(np.triu(close, 1))
-        kept = np.zeros(len(i), bool)
-        for k in range(0, len(i), 1 << 16):
-            one, two = i[k : k + (1 << 16)], j[k : k + (1 << 16)]
-            kept[k : k + len(one)] = np.einsum("nd,nd->n", whole[one], whole[two]) >= options.similarity
-        i, j = i[kept], j[kept]
-        name = int(group["cluster"].iloc[0])
-        shared = (clusters[i][:, :, None] == clusters[j][:, None, :]).any(axis=2)
-        first = np.where(shared, clusters[i], np.iinfo(np.int32).max).min(axis=1, initial=np.iinfo(np.int32).max)
-        here = first == name
-        parts = int(group["parts"].iloc[0])
-        if parts > 1:
-            own = group["own"].to_numpy()
-            low, high = own.min(), own.max()
-            inner = own[i] == own[j]
-            # chunk k meets chunk k + 1, the last one the one before it
-            home = np.where(own[i] + 1 < parts, (own[i] == low) & (high == low + 1), (own[i] == high) & (low == high - 1))
-            here &= ~inner | home
-        i, j = i[here], j[here]
+        name, parts = int(group["cluster"].iloc[0]), int(group["parts"].iloc[0])
+        own = group["own"].to_numpy()
+        # of the pairs inside a chunk those count where it meets the next chunk; the last meets the one before it
+        home = np.where(own + 1 < parts, own == own.min(), True) & (abs(own.max() - own.min()) == 1)
+        pairs = []
+        for at in range(0, count, 256):
+            i, j = np.nonzero(np.triu(close[at : at + 256], at + 1))
+            i = i + at
+            kept = np.einsum("nd,nd->n", whole[i], whole[j]) >= options.similarity
+            i, j = i[kept], j[kept]
+            # the smallest cluster that both have
+            shared = (clusters[i][:, :, None] == clusters[j][:, None, :]).any(axis=2)
+            here = np.where(shared, clusters[i], np.iinfo(np.int32).max).min(axis=1, initial=np.iinfo(np.int32).max) == name
+            if parts > 1:
+                here &= (own[i] != own[j]) | home[i]
+            pairs.append(np.stack([i[here], j[here]]).astype(np.int32))
+        i, j = np.concatenate(pairs, axis=1)
         copies = group["copies"].to_numpy()
         counts = np.bincount(i, copies[j], count) + np.bincount(j, copies[i], count)
         one, two = _spans(i, j, count)
