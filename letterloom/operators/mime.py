@@ -278,6 +278,9 @@ def core_part(parts: Column) -> Column:
 
 
 def explode_parts(df: DataFrame, key: str, raw: str) -> DataFrame:
-    """One row per MIME part; a message that cannot be read gives no row."""
-    parsed = df.select(key, parse_mime(F.col(raw)).alias("_parsed"))
-    return parsed.select(key, F.inline("_parsed.parts"))
+    """One row per MIME part; a message that cannot be read gives one row with its ``defect`` and no part.
+
+    The generator infers a filter on its array, which without the stage would parse every message again.
+    """
+    parsed = stage(df.select(key, parse_mime(F.col(raw)).alias("_parsed")), "parts")
+    return parsed.select(key, F.col("_parsed.defect").alias("defect"), F.inline_outer("_parsed.parts"))

@@ -107,6 +107,14 @@ def test_explode_parts(spark):
         (0, 0, None, "multipart/mixed", None), (1, 1, 0, "text/plain", "a"), (2, 1, 0, "image/png", None),
         (3, 1, 0, "message/rfc822", None), (4, 2, 3, "text/plain", "inner"),
     ]
+    (unread,) = [r for r in rows if r["offset"] == 1]
+    assert unread["defect"] and unread["part_no"] is None
+
+
+def test_explode_parts_parses_once(spark):
+    parts = explode_parts(kafka_frame(spark, [b"a: b\n\nx"]), "offset", "value").where("part_no >= 0")
+    plan = parts._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1
 
 
 def test_decode_headers(spark):
