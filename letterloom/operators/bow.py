@@ -44,8 +44,11 @@ def bow_counts(texts: DataFrame, key: Sequence[str], vocabulary: Lookup) -> Data
 
 
 def _sparse_rows(indexed: DataFrame, key: Sequence[str]) -> DataFrame:
-    """Rows of (key, field, idx) to sparse rows; a null index only keeps its text."""
-    counted = indexed.groupBy(*key, "field", "idx").agg(F.count(F.lit(1)).alias("cnt"))
+    """Rows of (key, field, idx) to sparse rows; a null index only keeps its text.
+
+    Dealt by text once: both aggregations then find their rows in place.
+    """
+    counted = indexed.repartition(*key, "field").groupBy(*key, "field", "idx").agg(F.count(F.lit(1)).alias("cnt"))
     cells = F.array_sort(F.collect_list(F.when(F.col("idx").isNotNull(), F.struct("idx", "cnt"))))
     return (
         counted.groupBy(*key, "field")
