@@ -111,9 +111,9 @@ def surrogate_sql(text: str, key: str) -> str:
 def entity_ctes(source: str, key: str, text: str, name: str) -> str:
     """CTEs that end in ``name``: ``source`` plus ``tagged``, names replaced, the longest first."""
     word = r"[\p{L}\p{N}_]+"
-    opening = q(f"^{word} {word} {word}")
+    run = q(rf"\p{{Lu}}[\p{{L}}\p{{N}}_]* {word} {word}")
     return f"""
-{name}_o as (select regexp_extract(text, {opening}) as o, string_split(o, ' ') as p from benchmark),
+{name}_o as (select unnest(regexp_extract_all(text, {run})) as o, string_split(o, ' ') as p from benchmark),
 {name}_n as (select surface, min(label) as label, len(regexp_extract_all(surface, {SEGMENT})) as span from (
   select p[1] as surface, 'PERSON' as label from {name}_o
   union all select concat_ws(' ', p[2], p[3]), 'GPE' from {name}_o union all select o, 'ORG' from {name}_o)
@@ -299,6 +299,11 @@ ORACLE = {
     "feature_export": f"""with {PROCESSED}, {counts_ctes("processed", "doc_id, field")}, sparse as ({SPARSE}),
 halves as (select doc_id, {HALVES} as split from documents)
 select doc_id, '{MATRIX_DAY}' as matrix_date, field, split, indices, counts from sparse join halves using (doc_id)""",
+    "feature_rows": f"""with {PROCESSED}, {counts_ctes("processed", "doc_id, field")}, sparse as ({SPARSE}),
+halves as (select doc_id, case when row_number() over (order by cast(doc_id // 3 as varchar), doc_id)
+  <= count(*) over () // 2 then 'train' else 'test' end as split from documents)
+select 'documents/0/' || doc_id as row_id, cast(doc_id // 3 as varchar) as message_id, field, split, indices, counts
+from sparse join halves using (doc_id)""",
     # streaming steps
     "payload_decode": f"{MAIL_TEXTS} select doc_id, value as text from mail",
     "message_records": published(

@@ -102,7 +102,7 @@ def stream_ingest(spark, sf_dir):
     path = work_path(spark, "stream")
     job = ingest_stream(_document_stream(spark, sf_dir), f"{path}/table", f"{path}/checkpoint", every=None)
     job.awaitTermination()
-    return _plain(spark.read.parquet(f"{path}/table"))
+    return _plain(spark.read.parquet(f"{path}/table").select(*MESSAGE_COLUMNS, "processed_date"))
 
 
 @query
@@ -169,6 +169,26 @@ def feature_export(spark, sf_dir):
     )
 
 
+@query
+def feature_rows(spark, sf_dir):
+    """Features of messages whose ids repeat, each named by its position in the source."""
+    path = work_path(spark, "feature-rows")
+    messages = titled(read_documents(spark, sf_dir)).select(
+        F.lit("documents").alias("topic"),
+        F.lit(0).alias("partition"),
+        F.col("doc_id").alias("offset"),
+        F.expr("cast(doc_id div 3 as string)").alias("message_id"),
+        "subject",
+        "body",
+    )
+    write_features(
+        daily_features(messages, vocabulary_lookup(spark, sf_dir), lemma_lookup(spark), MATRIX_DAY), path
+    )
+    return spark.read.parquet(path).select(
+        "row_id", "message_id", "field", "split", _numbers("indices").alias("indices"), _numbers("values").alias("counts")
+    )
+
+
 # streaming steps
 
 

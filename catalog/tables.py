@@ -41,18 +41,19 @@ def vocabulary_lookup(spark: SparkSession, sf_dir: str) -> Lookup:
 
 
 def benchmark_gazetteer(spark: SparkSession, sf_dir: str) -> Gazetteer:
-    """The opening of every benchmark item as names of one, two and three words."""
+    """Three words from a capital letter on, anywhere in a benchmark item, as names of one, two and three words."""
     items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
     word = r"[\p{L}\p{N}_]+"
-    opening = F.regexp_extract("text", rf"^{word} {word} {word}", 0)
-    parts = F.split(opening, " ")
+    runs = F.regexp_extract_all("text", F.lit(rf"\p{{Lu}}[\p{{L}}\p{{N}}_]* {word} {word}"), F.lit(0))
+    items = items.select(F.explode(runs).alias("run"))
+    parts = F.split("run", " ")
     names = F.array(
         F.struct(F.get(parts, F.lit(0)).alias("surface"), F.lit("PERSON").alias("label")),
         F.struct(
             F.concat_ws(" ", F.get(parts, F.lit(1)), F.get(parts, F.lit(2))).alias("surface"),
             F.lit("GPE").alias("label"),
         ),
-        F.struct(opening.alias("surface"), F.lit("ORG").alias("label")),
+        F.struct(F.col("run").alias("surface"), F.lit("ORG").alias("label")),
     )
     return read_gazetteer(items.select(F.inline(names)))
 

@@ -16,6 +16,7 @@ from letterloom.operators.vocabulary import build_vocabulary
 from letterloom.options import MailOptions
 from letterloom.plans.corpus import run_corpus
 from letterloom.plans.features import daily_features
+from letterloom.plans.messages import ROW_KEY
 from letterloom.session import apply_runtime_conf
 from letterloom.sources.readers import read_day, read_mail_stream, read_vocabulary
 from letterloom.sources.writers import write_features
@@ -87,7 +88,7 @@ def run(spark: SparkSession, argv: Sequence[str] | None = None) -> None:
     vocabulary, lemmas = _lookups(spark, args)
     day = args.day or _yesterday()
     if args.job == "features":
-        messages = read_day(spark, args.table, day, ("message_id", "subject", "body"))
+        messages = read_day(spark, args.table, day, (*ROW_KEY, "message_id", "subject", "body"))
         write_features(daily_features(messages, vocabulary, lemmas, day), args.out)
     else:
         options, gazetteer = _privacy(spark, args)

@@ -10,7 +10,7 @@ from letterloom.operators.entities import Gazetteer
 from letterloom.operators.lookup import Lookup
 from letterloom.options import MailOptions
 from letterloom.plans.features import daily_features
-from letterloom.plans.messages import accepted_messages, classify_messages, rejected_messages
+from letterloom.plans.messages import ROW_KEY, accepted_messages, classify_messages, rejected_messages
 from letterloom.schemas import MESSAGE_COLUMNS
 from letterloom.sources.readers import read_mail_dir, read_messages
 from letterloom.sources.writers import write_eml_text, write_features, write_messages
@@ -35,7 +35,7 @@ def run_corpus(
     if rejects:
         outcomes = outcomes.persist()  # both writes read it; a part that is lost is made again
         write_messages(rejected_messages(outcomes), rejects)
-    write_messages(accepted_messages(outcomes).select(*MESSAGE_COLUMNS), f"{out}/messages")
+    write_messages(accepted_messages(outcomes, keep=ROW_KEY).select(*ROW_KEY, *MESSAGE_COLUMNS), f"{out}/messages")
     outcomes.unpersist()
     messages = read_messages(spark, f"{out}/messages")
     write_eml_text(messages, f"{out}/eml")

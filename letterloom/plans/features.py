@@ -12,22 +12,24 @@ from letterloom.operators.bow import lemma_vectors
 from letterloom.operators.lookup import Lookup
 from letterloom.operators.ranking import half_split
 from letterloom.operators.tokens import add_lemmas, explode_tokens
-from letterloom.session import ensure_checkpoint_dir
+from letterloom.plans.messages import ROW_KEY
 
 FIELDS = ("subject", "body")
 
 
 def number_rows(messages: DataFrame, key: str = "message_id", fields: Sequence[str] = FIELDS) -> DataFrame:
-    """(row_id, row_key, key, fields): stored rows with an id of their own.
+    """(row_id, row_key, key, fields): stored rows named by where they came from, the same in every run.
 
-    Message ids can repeat, so rows are counted by ``row_id`` and put in order
-    by ``row_key``, the message id followed by the row id.
+    Message ids can repeat, so rows are counted by ``row_id`` and put in order by ``row_key``, the message
+    id followed by the position.
     """
-    ensure_checkpoint_dir(messages.sparkSession)
-    row_id = F.monotonically_increasing_id()
-    rows = messages.select(key, *fields).withColumn("row_id", row_id).checkpoint()
-    return rows.withColumn(
-        "row_key", F.concat_ws("\0", F.col(key).cast("string"), F.lpad(F.hex("row_id"), 16, "0"))
+    place = [F.lpad(F.hex(F.col(name).cast("long")), 16, "0") for name in ("partition", "offset")]
+    name = F.coalesce(F.col(key).cast("string"), F.lit(""))
+    return messages.select(
+        F.concat_ws("/", *ROW_KEY).alias("row_id"),
+        F.concat_ws("\0", name, "topic", *place).alias("row_key"),
+        key,
+        *fields,
     )
 
 
@@ -40,17 +42,18 @@ def daily_features(
     fields: Sequence[str] = FIELDS,
     unique: bool = False,
 ) -> DataFrame:
-    """(row_id, matrix_date, field, split, indices, values), one row per text.
+    """(row_id, key, matrix_date, field, split, indices, values), one row per text.
 
-    ``unique`` says that no two rows share a key; the key is then the row id.
+    ``messages`` holds each row's topic, partition and offset, its position in the source, which becomes
+    the row id. ``unique`` says that no two rows share a key; the key is then the row id.
     """
     if unique:
-        rows = half_split(messages.select(F.col(key).alias("row_id"), *fields), "row_id")
+        rows = half_split(messages.select(F.col(key).alias("row_id"), key, *fields), "row_id")
     else:
         rows = half_split(number_rows(messages, key, fields), "row_key")
-    row = ("row_id", "split")
+    row = ("row_id", key, "split")
     lemmatised = add_lemmas(explode_tokens(rows, row, fields), lemmas)
     vectors = lemma_vectors(lemmatised, row, vocabulary)
     return vectors.select(
-        "row_id", F.lit(day).alias("matrix_date"), "field", "split", "indices", "values"
+        "row_id", key, F.lit(day).alias("matrix_date"), "field", "split", "indices", "values"
     )

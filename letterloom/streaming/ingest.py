@@ -66,9 +66,9 @@ def ingest_stream(
     options: MailOptions = MailOptions(),
     every: str | None = TRIGGER,
 ) -> StreamingQuery:
-    """Raw stream to the published message table."""
+    """Raw stream to the published message table, each row with its position in the source."""
     outcomes = classify_messages(raw, options)
-    return write_message_stream(accepted_messages(outcomes, options.null_rows), path, checkpoint, every)
+    return write_message_stream(accepted_messages(outcomes, options.null_rows, ROW_KEY), path, checkpoint, every)
 
 
 def ingest_stream_with_entities(
@@ -119,7 +119,7 @@ def tagged_batch_writer(
         if rejects:
             outcomes = outcomes.persist()  # both writes read it; a part that is lost is made again
             put(rejected_messages(outcomes), batch_id, rejects)
-        put(accepted_messages(outcomes, options.null_rows), batch_id, path)
+        put(accepted_messages(outcomes, options.null_rows, ROW_KEY), batch_id, path)
         outcomes.unpersist()
 
     return write

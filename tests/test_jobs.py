@@ -15,7 +15,7 @@ from letterloom.operators.lookup import measure
 from letterloom.operators.vocabulary import build_vocabulary
 from letterloom.options import MailOptions
 from letterloom.plans.corpus import run_corpus
-from letterloom.plans.messages import accepted_messages, classify_messages, rejected_messages
+from letterloom.plans.messages import ROW_KEY, accepted_messages, classify_messages, rejected_messages
 from letterloom.schemas import MESSAGE_COLUMNS
 from letterloom.sources.readers import (
     read_day,
@@ -185,7 +185,7 @@ def test_corpus_run(spark, tmp_path):
 
 def test_command_line(spark, raw, tmp_path, monkeypatch):
     table, out = str(tmp_path / "table"), str(tmp_path / "out")
-    write_messages(accepted_messages(classify_messages(raw)), table, ["processed_date"])
+    write_messages(accepted_messages(classify_messages(raw), keep=ROW_KEY), table, ["processed_date"])
     (tmp_path / "words.txt").write_text("fox\ndog\n")
     words = ["--vocabulary", str(tmp_path / "words.txt"), "--day", "2024-05-02"]
     run(spark, ["features", "--table", table, "--out", out, *words])

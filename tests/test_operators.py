@@ -149,9 +149,15 @@ def test_daily_features_with_repeated_ids(spark, lookups):
     """A message id that repeats must not merge its messages."""
     lemmas, vocabulary = lookups
     rows = [("same", "men", "horse horse")] * 5 + [("other", "day", "")]
-    df = spark.createDataFrame(rows, "message_id string, subject string, body string")
-    out = daily_features(df, vocabulary, lemmas, dt.date(2024, 1, 1)).collect()
+    placed = [("t", n % 2, n, *row) for n, row in enumerate(rows)]
+    schema = "topic string, partition int, offset long, message_id string, subject string, body string"
+    features = daily_features(spark.createDataFrame(placed, schema), vocabulary, lemmas, dt.date(2024, 1, 1))
+    out = features.collect()
     assert len(out) == 12
+    names = {(r["row_id"], r["message_id"]) for r in out}
+    assert names == {(f"t/{n % 2}/{n}", row[0]) for n, row in enumerate(rows)}
+    again = daily_features(spark.createDataFrame(placed[::-1], schema), vocabulary, lemmas, dt.date(2024, 1, 1))
+    assert sorted(map(tuple, again.collect())) == sorted(map(tuple, out))
     assert Counter(r["split"] for r in out) == {"train": 6, "test": 6}
     assert sum(sum(r["values"]) for r in out) == 5 * 3 + 1
 
