@@ -145,6 +145,12 @@ def test_bow(spark, lookups):
     assert vectors == {1: (sorted(want), [float(want[i]) for i in sorted(want)]), 2: ([], []), 3: ([], [])}
 
 
+def test_bow_vectors_shuffle_tokens_once(spark, lookups):
+    texts = spark.createDataFrame([(1, "body", "horse day")], "id int, field string, text string")
+    plan = bow_vectors(texts, ("id",), lookups[1])._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning(id#") == 1
+
+
 def test_daily_features_with_repeated_ids(spark, lookups):
     """A message id that repeats must not merge its messages."""
     lemmas, vocabulary = lookups
