@@ -90,7 +90,8 @@ def shard_rows(rows: DataFrame, tree: Node, grown: Node | None = None, key: str
 
     ``shard`` is a function of the key and the tree, so equal keys share a shard and a null key
     counts as the word ``null``. ``slot`` numbers a shard's rows from 0 without gaps, by hash
-    bucket and key; rows that repeat a key are ordered by size and checksum. ``size`` is the
+    bucket of (key, size, checksum) and then by these, so that a key that repeats with other texts
+    is spread over the buckets. ``size`` is the
     UTF-8 length plus 8, null texts having none. An empty table gives no rows; further columns
     are not read.
 
@@ -108,5 +109,6 @@ def shard_rows(rows: DataFrame, tree: Node, grown: Node | None = None, key: str
         (place(name, grown) if grown else F.lit(None).cast("int")).alias("grown_shard"),
     )
     counts = placed.groupBy("shard").agg(F.count(F.lit(1)).alias("n"))
-    ranked = bucketed_rank(placed, counts, "shard", F.xxhash64("id"), ["id", "size", "text_crc32"], "slot")
+    held = ["id", "size", "text_crc32"]
+    ranked = bucketed_rank(placed, counts, "shard", F.xxhash64(*held), held, "slot")
     return ranked.select(F.col("id").alias(key), "size", "text_crc32", "shard", "slot", "grown_shard")
