@@ -133,8 +133,8 @@ def candidates(text: str, based: list[tuple[str, int, int]]) -> list[tuple[str,
 SPANS = "array<struct<kind:string,start:int,end:int,based:boolean,votes:array<int>>>"
 
 
-def found_spans(documents: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(key, spans): base spans and candidates with their votes, fixed to storage."""
+def voted_spans(documents: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """(key, spans): base spans and candidates with their votes."""
     kind = documents.schema[key].dataType.simpleString()
     arrow = pa.list_(pa.struct({"kind": pa.string(), "start": pa.int32(), "end": pa.int32(), "based": pa.bool_(), "votes": pa.list_(pa.int32())}))
 
@@ -152,7 +152,7 @@ def found_spans(documents: DataFrame, key: str = "doc_id", text: str = "text") -
             yield pa.RecordBatch.from_arrays([batch.column("key"), pa.array(rows, arrow)], ["key", "spans"])
 
     source = documents.select(F.col(key).alias("key"), F.col(text).alias("text"))
-    return cut(source.mapInArrow(read, f"key {kind}, spans {SPANS}").withColumnRenamed("key", key))
+    return source.mapInArrow(read, f"key {kind}, spans {SPANS}").withColumnRenamed("key", key)
 
 
 @dataclass(frozen=True)
@@ -228,7 +228,7 @@ def learn(spans: DataFrame) -> dict[tuple, float]:
             belief[at] = estimate(votes[at], counts[at]).posterior(votes[at])
     weights = fit_classifier(kinds, votes, counts, belief)
     scores = 1 / (1 + np.exp(-_features(kinds, votes) @ weights))
-    return {(k, *v): float(p) for k, v, p in zip(kinds, votes.tolist(), scores)}
+    return {(k, *v): float(p) for k, v, p in zip(kinds.tolist(), votes.tolist(), scores)}
 
 
 def decided_spans(documents: DataFrame, key: str = "doc_id", text: str = "text", least: float = 0.5) -> DataFrame:
@@ -238,7 +238,7 @@ def decided_spans(documents: DataFrame, key: str = "doc_id", text: str = "text",
     then kind as listed. One row per document; null texts are empty and have no spans; rows that
     repeat a key are rows like others; an empty table gives no rows; further columns are not read.
     """
-    spans = found_spans(documents, key, text)
+    spans = cut(voted_spans(documents, key, text))
     passed = [_mark(kind, votes) for (kind, *votes), score in learn(spans).items() if score >= least]
     passed = F.lit(passed) if passed else F.array().cast("array<string>")
     mark = lambda s: F.concat_ws(":", s["kind"], F.concat_ws(",", s["votes"].cast("array<string>")))
@@ -278,36 +278,32 @@ def span_digest(documents: DataFrame, key: str = "doc_id", text: str = "text") -
     )
 
 
-def redact(documents: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+def redact(documents: DataFrame, key: str = "doc_id", text: str = "text", least: float = 0.5) -> DataFrame:
     """The documents with each span replaced by its kind in brackets, other columns as they are.
 
-    Spans are found per text, so rows that repeat a key are joined by key and text hash. Where
-    spans overlap, the run they cover becomes one mark of the first kind. Texts without spans,
-    null ones included, stay.
+    One pass counts votes and one masks every row in its own task, by the same spans as
+    :func:`decided_spans`: no shuffle of texts, so repeated keys and hot ones cost nothing. Where spans
+    overlap, the run they cover becomes one mark of the first kind. Texts without spans, null ones
+    included, stay.
     """
-    marked = documents.withColumn("_print", F.xxhash64(F.coalesce(F.col(text), F.lit(""))))
-    keyed = documents.select(F.struct(F.col(key), F.xxhash64(F.coalesce(F.col(text), F.lit("")))).alias("k"), F.col(text).alias("t"))
-    found = decided_spans(keyed, "k", "t").where("size(spans) > 0")
-    found = found.select(F.col(f"k.{key}").alias("_id"), F.col("k.col2").alias("_print"), F.col("spans").alias("_spans"))
-    found = found.dropDuplicates(["_id", "_print"])
+    passed = {votes for votes, score in learn(voted_spans(documents, key, text)).items() if score >= least}
 
     @F.pandas_udf("string")
-    def masked(texts: pd.Series, spans: pd.Series) -> pd.Series:
-        return pd.Series([_masked(t, s) for t, s in zip(texts, spans)], dtype=object)
+    def masked(texts: pd.Series) -> pd.Series:
+        return pd.Series([_masked(value, passed) for value in texts], dtype=object)
 
-    joined = marked.join(
-        found.hint("shuffle_hash"), F.col(key).eqNullSafe(F.col("_id")) & (marked["_print"] == found["_print"]), "left"
-    )
-    changed = F.when(F.col("_spans").isNotNull(), masked.asNondeterministic()(F.col(text), F.col("_spans")))
-    return joined.select(*[F.coalesce(changed, F.col(text)).alias(text) if c == text else documents[c] for c in documents.columns])
+    clean = masked.asNondeterministic()(F.col(text)).alias(text)
+    return documents.select(*[clean if c == text else documents[c] for c in documents.columns])
 
 
-def _masked(text: str | None, spans) -> str | None:
-    if text is None or spans is None:
+def _masked(text: str | None, passed: set[tuple]) -> str | None:
+    if not text:
         return text
+    based = base_spans(text)
+    wider = [s for s in candidates(text, based) if (s[0], *_votes(text, *s, False)) in passed]
     out, at = [], 0
-    for span in spans:
-        if span["start"] >= at:
-            out += [text[at : span["start"]], f"[{span['kind'].upper()}]"]
-        at = max(at, span["end"])
+    for kind, start, end in sorted(based + wider, key=lambda s: (s[1], KINDS.index(s[0]))):
+        if start >= at:
+            out += [text[at:start], f"[{kind.upper()}]"]
+        at = max(at, end)
     return "".join([*out, text[at:]])
