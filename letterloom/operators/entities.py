@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -14,18 +16,22 @@ from letterloom.operators.lookup import BROADCAST_LIMIT_BYTES, Lookup, lookup_jo
 
 
 WORD_START = r"^[\p{L}\p{N}_]"
-# Up to this many first words are tested in place, before words become rows.
-MAX_HEAD_LITERALS = 5_000
+# Bits of the filter that words pass before they become rows, whatever the number of names.
+HEAD_BITS = 1 << 16
 
 
 @dataclass(frozen=True)
 class Gazetteer:
-    """Known names with their labels, and an index by first word."""
+    """Known names with their labels, an index by first word, and a bit filter of first words."""
 
     names: Lookup
     heads: Lookup
     longest: int
-    head_words: tuple[str, ...] | None
+    head_bits: tuple[int, ...]
+
+
+def _slot(head: Column) -> Column:
+    return F.pmod(F.xxhash64(head), F.lit(HEAD_BITS))
 
 
 def read_gazetteer(table: DataFrame, limit: int = BROADCAST_LIMIT_BYTES) -> Gazetteer:
@@ -45,9 +51,17 @@ def read_gazetteer(table: DataFrame, limit: int = BROADCAST_LIMIT_BYTES) -> Gaze
     heads = spans.groupBy("head").agg(F.collect_set("span").alias("spans"))
     longest = spans.agg(F.max("span")).first()[0] or 1
     measured = measure(names, limit)
-    few = heads.select("head").limit(MAX_HEAD_LITERALS + 1).collect() if measured.fits else []
-    literals = tuple(row[0] for row in few) if 0 < len(few) <= MAX_HEAD_LITERALS else None
-    return Gazetteer(measured, measured.derive(heads), longest, literals)
+    return Gazetteer(measured, measured.derive(heads), longest, _bit_filter(heads))
+
+
+def _bit_filter(heads: DataFrame) -> tuple[int, ...]:
+    """Longs with the bit of each first word set; their number is fixed."""
+    slots = heads.select(_slot(F.col("head")).alias("slot"))
+    bits = slots.groupBy(F.expr("slot div 64").alias("at")).agg(
+        F.expr("bit_or(shiftleft(1L, cast(slot % 64 as int)))").alias("bits")
+    )
+    held = {row["at"]: row["bits"] for row in bits.collect()}
+    return tuple(held.get(at, 0) for at in range(HEAD_BITS // 64))
 
 
 def find_entities(
@@ -55,18 +69,20 @@ def find_entities(
 ) -> DataFrame:
     """(key, field, at, span, size, label) of every place a known name stands.
 
-    Each word becomes a row with the few segments after it; words that start no
-    name are dropped by the first join, before longer candidates are formed. A
-    short list of first words is tested even before that, inside the text's row.
+    Words that no name starts with are mostly dropped in the text's row, by a bit filter of fixed size;
+    the others become rows with the few segments after them, and the first join drops the rest before
+    longer candidates are formed.
     """
     texts = F.array(*[F.struct(F.lit(f).alias("field"), F.col(f).alias("text")) for f in fields])
     cut = df.select(*key, F.inline(texts)).select(*key, "field", segments(F.col("text")).alias("segs"))
-    if gazetteer.head_words is None:
-        test = f"place.head rlike r'{WORD_START}'"
-    else:
-        # Words hold no quotes or backslashes.
-        test = "place.head in ({})".format(", ".join(f"'{word}'" for word in gazetteer.head_words))
-    places = F.expr(f"filter(transform(segs, (seg, i) -> struct(i as at, seg as head)), place -> {test})")
+    bits = F.lit([*gazetteer.head_bits]).cast("array<bigint>")
+
+    def may_start(place: Column) -> Column:
+        slot = _slot(place["head"])
+        return F.bit_get(F.get(bits, (slot / 64).cast("int")), (slot % 64).cast("int")) == 1
+
+    spots = F.transform("segs", lambda seg, i: F.struct(i.alias("at"), seg.alias("head")))
+    places = F.filter(spots, may_start)
     windows = F.transform(
         places,
         lambda p: F.struct(
@@ -134,13 +150,18 @@ def tag_entities(
     """Replace known names by their labels in the given text columns.
 
     ``df`` is read twice, once for the matches and once for the texts, so pass
-    a stored or checkpointed frame. ``key`` must identify a row.
+    a stored or checkpointed frame. Rows are told apart by ``key`` and a hash of
+    their texts, so keys may repeat or be null.
     """
-    found = find_entities(df, key, fields, gazetteer)
-    per_row = found.groupBy(*key).agg(
-        F.collect_list(F.struct("field", "at", "span", "size", "label")).alias("_found")
+    own = [*key, "_print"]
+    printed = df.withColumn("_print", F.xxhash64(*fields))
+    found = find_entities(printed, own, fields, gazetteer)
+    per_row = found.groupBy(*own).agg(
+        F.collect_set(F.struct("field", "at", "span", "size", "label")).alias("_found")
     )
-    out = df.join(per_row, list(key), "left")
+    named = per_row.select(*[F.col(name).alias(f"_own{i}") for i, name in enumerate(own)], "_found")
+    same = reduce(and_, [F.col(name).eqNullSafe(F.col(f"_own{i}")) for i, name in enumerate(own)])
+    out = printed.join(named, same, "left")
 
     def of_field(name: str) -> Column:
         return F.filter("_found", lambda m: m["field"] == name)

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from letterloom.functions.tagging import segments
 from letterloom.operators.bow import bow_counts, bow_vectors
-from letterloom.operators.entities import read_gazetteer, tag_entities
+from letterloom.operators.entities import HEAD_BITS, read_gazetteer, tag_entities
 from letterloom.operators.lookup import Lookup, lookup_join, measure
 from letterloom.operators.ranking import global_rank, half_split
 from letterloom.operators.recipients import explode_recipients
@@ -98,11 +98,18 @@ def test_entities(spark, limit):
     rows = [(i, t, texts[-i]) for i, t in enumerate(texts)] + [(999, None, "Bob")]
     df = spark.createDataFrame(rows, "i int, one string, two string").repartition(3)
     gazetteer = read_gazetteer(spark.createDataFrame(list(names.items()), "surface string, label string"), limit)
-    assert (gazetteer.head_words is None) == (limit == 0)
+    assert len(gazetteer.head_bits) == HEAD_BITS // 64
     got = {r["i"]: (r["one"], r["two"]) for r in tag_entities(df, ["i"], ["one", "two"], gazetteer).collect()}
     assert got == {i: (a and brute_entities(a, names) if a else a, brute_entities(b, names)) for i, a, b in rows}
 
 
+def test_entities_of_rows_that_share_a_key(spark):
+    gazetteer = read_gazetteer(spark.createDataFrame([("Bob", "PERSON")], "surface string, label string"))
+    rows = [(1, "Bob is here"), (1, "there is Bob"), (1, "Bob is here"), (None, "to Bob"), (None, None), (2, "")]
+    got = tag_entities(spark.createDataFrame(rows, "k int, text string"), ["k"], ["text"], gazetteer)
+    assert sorted(map(tuple, got.collect()), key=repr) == sorted([(k, t and t.replace("Bob", "PERSON")) for k, t in rows], key=repr)
+
+
 def test_segments_join_back(column):
     texts = ["", "a b", "  x--é_1 !", "\n\n"]
     assert column(texts, lambda c: F.array_join(segments(c), "")) == texts
