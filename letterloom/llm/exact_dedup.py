@@ -67,8 +67,30 @@ def _rows(joined: DataFrame, key: str) -> DataFrame:
     )
 
 
+def row_key(key: str, text: str) -> Column:
+    """A hash of a row's key and text, never null; a null text is an empty one."""
+    named = F.coalesce(F.concat(F.lit("="), F.col(key).cast("string"), F.lit("\n")), F.lit("\n"))
+    return F.sha2(F.concat(named, F.coalesce(F.col(text), F.lit(""))).cast("binary"), 256)
+
+
 def drop_copies(documents: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """The documents that stay, with all their columns; rows with a null key all stay."""
-    groups = exact_groups(documents, key, text)
-    dropped = groups.where("not kept").select(F.col(key).alias("_dropped"))
-    return documents.join(dropped.hint("shuffle_hash"), F.col(key) == F.col("_dropped"), "left_anti")
+    """The rows that stay, with all their columns, decided per key and text.
+
+    Rows that repeat a key and a text all stay or all go, and rows with a null key all stay: one row per
+    text is what :func:`one_per_text` keeps.
+    """
+    dropped = exact_groups(documents, key, text).where("not kept")
+    dropped = dropped.select(F.col(key).alias("_dropped"), F.col("text_sha256").alias("_sha")).distinct()
+    same = (F.col(key) == F.col("_dropped")) & (F.sha2(normalised(F.col(text)), 256) == F.col("_sha"))
+    return documents.join(dropped.hint("shuffle_hash"), same, "left_anti")
+
+
+def one_per_text(documents: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """One row per text, with all its columns: that of the smallest key, null keys last.
+
+    Texts are equal when the SHA-256 of their bytes is after :func:`normalised`. Copies are left out
+    before the shuffle, so a group of any size, also one that repeats its key, costs a row per task.
+    """
+    first = F.struct(F.isnull(key), F.col(key), F.xxhash64(text))
+    groups = documents.groupBy(F.sha2(normalised(F.col(text)), 256).alias("_sha"))
+    return groups.agg(F.min_by(F.struct(*documents.columns), first).alias("_kept")).select("_kept.*")

@@ -189,8 +189,19 @@ def simhash_groups(
     return out.select(key, digits.alias("fingerprint"), "component_id")
 
 
-def drop_near_copies(documents: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """The document with the smallest key of each group, with all its columns; null keys stay."""
-    groups = simhash_groups(documents, key, text)
-    dropped = groups.where(F.col(key) != F.col("component_id")).select(F.col(key).alias("_dropped"))
-    return documents.join(dropped.hint("shuffle_hash"), F.col(key) == F.col("_dropped"), "left_anti")
+def drop_near_copies(documents: DataFrame, key: str = "doc_id", text: str = "text", words: int = 3) -> DataFrame:
+    """The rows with the smallest key of each group, with all their columns, decided per key and fingerprint.
+
+    Null keys stay, and rows that repeat a key and a text all stay or all go.
+    """
+    groups = simhash_groups(documents, key, text, words)
+    dropped = groups.where(F.col(key) != F.col("component_id"))
+    dropped = dropped.select(F.col(key).alias("_dropped"), F.col("fingerprint").alias("_digits")).distinct()
+
+    @F.pandas_udf("string")
+    def digits(column: pd.Series) -> pd.Series:
+        return pd.Series([f"{fingerprint(t, words) % (1 << 64):016x}" for t in column], dtype=object)
+
+    printed = documents.withColumn("_print", digits.asNondeterministic()(F.col(text)))
+    same = (F.col(key) == F.col("_dropped")) & (F.col("_print") == F.col("_digits"))
+    return printed.join(dropped.hint("shuffle_hash"), same, "left_anti").drop("_print")

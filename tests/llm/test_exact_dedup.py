@@ -6,7 +6,7 @@ from collections import defaultdict
 
 from pyspark.sql import functions as F
 
-from letterloom.llm.exact_dedup import drop_copies, exact_groups
+from letterloom.llm.exact_dedup import drop_copies, exact_groups, one_per_text
 
 
 def brute(texts):
@@ -38,3 +38,19 @@ def test_documents_that_stay(docs, texts):
     kept = [(r["doc_id"], r["text"]) for r in got.collect()]
     dropped = {k for k, keep, _, stays, _ in brute(texts) if not stays and k is not None}
     assert sorted(kept, key=repr) == sorted(((k, t) for k, t in texts if k not in dropped), key=repr)
+
+
+def test_a_repeated_key_loses_no_text(spark):
+    rows = [(1, "copy"), (5, "copy"), (5, "alone"), (5, "alone"), (None, "copy"), (None, "nameless"), (None, "nameless")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    assert {tuple(r) for r in drop_copies(docs).collect()} == set(rows) - {(5, "copy")}
+    assert sorted(map(tuple, one_per_text(docs).collect()), key=repr) == [(1, "copy"), (5, "alone"), (None, "nameless")]
+
+
+def test_one_row_per_text(docs, texts, no_docs):
+    got = one_per_text(docs)
+    assert got.columns == docs.columns
+    body = lambda t: re.sub(r"[\x20\x09-\x0d]+", " ", t or "")
+    want = {(keep, body(t)) for (_, t), (_, keep, *_) in zip(texts, [next(g for g in brute(texts) if g[0] == k and g[4] == hashlib.sha256(body(t).encode()).hexdigest()) for k, t in texts])}
+    assert sorted(((r["doc_id"], body(r["text"])) for r in got.collect()), key=repr) == sorted(want, key=repr)
+    assert one_per_text(no_docs).collect() == []

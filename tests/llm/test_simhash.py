@@ -73,3 +73,9 @@ def test_a_tile_emits_fewer_links_than_it_has_rows():
     dense = np.arange(16, dtype=np.uint64)
     a, b = _spanning(dense, dense, 3, True)
     assert len(a) == 15 and set(b.tolist()) == {0}
+
+
+def test_a_repeated_key_loses_no_text(spark):
+    rows = [(1, "one and the same text"), (5, "one and the same text"), (5, "quite another one, with nothing in common")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    assert sorted(map(tuple, drop_near_copies(docs).collect())) == [rows[0], rows[2]]
