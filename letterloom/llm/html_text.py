@@ -49,10 +49,11 @@ SPACE = re.compile(r"\s+")
 class Element:
     """A node of the page: ``parts`` are its texts and elements in order."""
 
-    __slots__ = ("tag", "side", "parts", "parent", "chars", "link_chars", "tags", "link_tags", "density", "total")
+    __slots__ = ("tag", "side", "parts", "parent", "chars", "link_chars", "tags", "link_tags", "density", "total", "named")
 
     def __init__(self, tag: str, side: bool, parent: Element | None):
         self.tag, self.side, self.parent, self.parts = tag, side, parent, []
+        self.named = tag in ("article", "main") or (parent is not None and parent.named)
         self.chars = self.link_chars = self.tags = self.link_tags = 0
         self.density = self.total = 0.0
 
@@ -209,7 +210,7 @@ def content_roots(root: Element) -> list[Element]:
     The node with the largest sum of its children's densities is found, the first of equals. The
     smallest density on its path to the body is the threshold: the chosen subtree is the topmost below
     the body that holds the node, and its siblings stay when they reach the threshold and no
-    article or main element holds the node.
+    article or main element holds the node. Articles beside an article stay when they reach it.
     """
     nodes = measure(root)
     body = next((n for n in nodes if n.tag == "body"), root)
@@ -220,10 +221,12 @@ def content_roots(root: Element) -> list[Element]:
     path = [best]
     while path[-1] is not body and path[-1].parent is not None:
         path.append(path[-1].parent)
+    threshold = min(n.density for n in path)
     named = [n for n in path if n.tag in ("article", "main")]
     if named:
-        return [named[-1]]
-    threshold = min(n.density for n in path)
+        beside = named[-1].parent.parts if named[-1].tag == "article" else named[-1:]
+        same = [p for p in beside if isinstance(p, Element) and p.tag == named[-1].tag and not p.side and p.chars]
+        return [p for p in same if p is named[-1] or p.density >= threshold]
     top = path[-2] if len(path) > 1 else body
     if top is body or any(isinstance(p, str) and p.strip() for p in body.parts):
         return [body]
@@ -232,7 +235,10 @@ def content_roots(root: Element) -> list[Element]:
 
 
 def blocks(root: Element) -> list[str]:
-    """The texts of a subtree, one per block, references decoded and white space as one space."""
+    """The texts of a subtree, one per block, references decoded and white space as one space.
+
+    Lists and blocks of links are left out, but not in an article or main element.
+    """
     out: list[str] = []
     run: list[str] = []
 
@@ -251,7 +257,7 @@ def blocks(root: Element) -> list[str]:
             run.append(item)
         elif item.tag == "br":
             run.append(" ")
-        elif not item.side and (item is root or not _listing(item)):
+        elif not item.side and (item is root or item.named or not _listing(item)):
             block = item.tag not in INLINE
             if block:
                 flush()

@@ -60,3 +60,12 @@ def test_pages(spark):
     got = sorted(map(tuple, extract_pages(pages).collect()), key=repr)
     assert got == sorted([(1, "u", PLAIN, len(PLAIN))] * 2 + [(2, None, "", 0), (None, "", "", 0)], key=repr)
     assert extract_pages(pages.where("false")).collect() == []
+
+
+def test_an_article_keeps_its_lists_of_links_and_its_other_parts():
+    sources = "<ul>" + "".join(f"<li><a href=/{k}>Source number {k}</a></li>" for k in range(3)) + "</ul>"
+    second = "<p>The second part of the story goes on for about as long as the first one did.</p>" * 4
+    page = f"<body><div><article>{STORY}{sources}</article><article>{second}</article></div></body>"
+    text = main_text(page)
+    assert text.startswith(f"{PLAIN}\n\nSource number 0\n\nSource number 1\n\nSource number 2\n\nThe second part")
+    assert text.count("The second part") == 4
