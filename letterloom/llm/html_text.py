@@ -207,10 +207,12 @@ def _listing(node: Element) -> bool:
 def content_roots(root: Element) -> list[Element]:
     """The subtrees that hold the main text, in page order.
 
-    The node with the largest sum of its children's densities is found, the first of equals. The
-    smallest density on its path to the body is the threshold: the chosen subtree is the topmost below
-    the body that holds the node, and its siblings stay when they reach the threshold and no
-    article or main element holds the node. Articles beside an article stay when they reach it.
+    The node with the largest sum of its children's densities is found, the first of equals, and stays
+    whole. The smallest density on its path to the body is the threshold. On each level of the path, blocks
+    beside it stay only when they reach the threshold; headings and texts without a block of their own,
+    which have no density to speak of, stay too. An article that holds the node stays whole, with those
+    articles beside it that reach the threshold and nothing from further out; a main element bounds
+    the path in the same way, but is cleaned inside.
     """
     nodes = measure(root)
     body = next((n for n in nodes if n.tag == "body"), root)
@@ -222,16 +224,37 @@ def content_roots(root: Element) -> list[Element]:
     while path[-1] is not body and path[-1].parent is not None:
         path.append(path[-1].parent)
     threshold = min(n.density for n in path)
-    named = [n for n in path if n.tag in ("article", "main")]
-    if named:
-        beside = named[-1].parent.parts if named[-1].tag == "article" else named[-1:]
-        same = [p for p in beside if isinstance(p, Element) and p.tag == named[-1].tag and not p.side and p.chars]
-        return [p for p in same if p is named[-1] or p.density >= threshold]
-    top = path[-2] if len(path) > 1 else body
-    if top is body or any(isinstance(p, str) and p.strip() for p in body.parts):
-        return [body]
-    keep = [p for p in body.parts if isinstance(p, Element) and not p.side and p.chars]
-    return [p for p in keep if p is top or p.density >= threshold and not _listing(p)]
+    articles = [k for k, n in enumerate(path) if n.tag == "article"]
+    outer = max((k for k, n in enumerate(path) if n.tag in ("article", "main")), default=None)
+    if outer is not None and path[outer].tag == "article":
+        beside = path[outer].parent.parts
+        same = [p for p in beside if isinstance(p, Element) and p.tag == "article" and not p.side and p.chars]
+        return [p for p in same if p is path[outer] or p.density >= threshold]
+    path = path[articles[-1] if articles else 0 : None if outer is None else outer + 1]
+    before, after = [], []
+    for level in range(len(path) - 1, 0, -1):
+        at = next(k for k, p in enumerate(path[level].parts) if p is path[level - 1])
+        before += _dense(path[level], path[level].parts[:at], threshold)
+        after.append(_dense(path[level], path[level].parts[at + 1 :], threshold))
+    return [*before, path[0], *(p for level in reversed(after) for p in level)]
+
+
+def _dense(parent: Element, parts: list, threshold: float) -> list[Element]:
+    """Of the parts beside the path those that stay; runs of text outside blocks become a block."""
+    out: list[Element] = []
+    run: Element | None = None
+    for part in parts:
+        if isinstance(part, str) or part.tag in INLINE:
+            if run is None:
+                run = Element("div", False, parent)
+                out.append(run)
+            run.parts.append(part)
+            continue
+        run = None
+        heading = len(part.tag) == 2 and part.tag[0] == "h" and part.tag[1] in "123456"
+        if not part.side and part.chars and (heading or part.density >= threshold and not _listing(part)):
+            out.append(part)
+    return [p for p in out if p.chars or p.parts]
 
 
 def blocks(root: Element) -> list[str]:

@@ -69,3 +69,13 @@ def test_an_article_keeps_its_lists_of_links_and_its_other_parts():
     text = main_text(page)
     assert text.startswith(f"{PLAIN}\n\nSource number 0\n\nSource number 1\n\nSource number 2\n\nThe second part")
     assert text.count("The second part") == 4
+
+
+def test_one_wrapper_with_unnamed_side_blocks():
+    sidebar = "<div><div><span>Hot</span> <span>now</span> <a href=/1>one</a> <a href=/2>two</a> <b>three</b></div></div>"
+    notice = "<div><p><b>Note</b> <i>well</i>: <a href=/t>terms</a></p></div>"
+    page = f"<body><div>{notice}<h1>Title</h1><div>{STORY}</div>{sidebar}<div><p>One more paragraph that ends the story for good here.</p></div></div></body>"
+    want = f"Title\n\n{PLAIN}\n\nOne more paragraph that ends the story for good here."
+    assert main_text(page) == want
+    assert main_text(page.replace("<body>", "<body>stray ")) == f"stray\n\n{want}"
+    assert main_text(page.replace("<div>", "<main>", 1).replace("</div></body>", "</main></body>")) == want
