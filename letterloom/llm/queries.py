@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from letterloom.llm.byte_pairs import encode_byte_pairs
 from letterloom.llm.common import table, work_folder
 from letterloom.llm.exact_dedup import exact_groups
 from letterloom.llm.html_text import extract_pages
@@ -79,11 +80,22 @@ def op10_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_byte_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = encode_byte_pairs(table(spark, sf_dir, "documents"), BYTE_BPE["tokenizer_json"], public_tokenizers.PATTERN)
+    joined = F.array_join(F.col("ids").cast("array<string>"), ",")
+    return rows.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(joined.cast("binary"), 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_sharding, op2_vector_links, op3_packing, op4_quality, op5_pii, op6_exact_dedup, op7_page_text, op8_warc,
-        op9_simhash, op10_pieces,
+        op9_simhash, op10_pieces, op13_byte_pairs,
     )
 }
 
