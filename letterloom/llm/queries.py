@@ -13,6 +13,7 @@ from letterloom.llm.common import table, work_folder
 from letterloom.llm.exact_dedup import exact_groups
 from letterloom.llm.html_text import extract_pages
 from letterloom.llm.packing import pack_documents
+from letterloom.llm.periodic import find_runs
 from letterloom.llm.pieces import encode_pieces
 from letterloom.llm.pii import span_digest
 from letterloom.llm.quality import rate_documents
@@ -80,6 +81,33 @@ def op10_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def with_planted_runs(documents: DataFrame) -> DataFrame:
+    """(doc_id, text): about every tenth text, chosen by its id, ends in a run of words that the id fixes."""
+    words = F.array_remove(F.split("text", r"[\x20\x09-\x0D]+"), "")
+    told = documents.select("doc_id", "text", F.crc32(F.col("doc_id").cast("string").cast("binary")).alias("h"))
+    told = told.withColumn("words", F.when(F.col("h") % 10 == 0, words)).withColumn("n", F.size("words"))
+    told = told.withColumn("g", F.expr("h div 10")).withColumn("a", F.expr("if(n > 0, int(g % n), 0)"))
+    told = told.withColumn("p", F.expr("int(1 + (n - a) div (3 + g % 8))"))
+    repeated = F.expr("transform(sequence(0, n - 1), i -> words[if(i < a, i, a + (i - a) % p)])")
+    planted = F.when(F.col("n") > 0, F.array_join(repeated, " ")).otherwise(F.col("text"))
+    return told.select("doc_id", planted.alias("text"))
+
+
+def op12_periodic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = find_runs(with_planted_runs(table(spark, sf_dir, "documents")))
+    # the run of the most periods, compared as fractions; runs are sorted, so the first of equals stays
+    best = F.expr("aggregate(runs, get(runs, 0), (b, r) -> if(r.length * b.period > b.length * r.period, r, b))")
+    lines = F.expr("array_join(transform(runs, r -> concat(r.start, ',', r.length, ',', r.period, '\n')), '')")
+    return rows.withColumn("best", best).select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        *[F.col(f"best.{c}").alias(c) for c in ("start", "length", "period")],
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(lines.cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"),
+    )
+
+
 def op13_byte_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = encode_byte_pairs(table(spark, sf_dir, "documents"), BYTE_BPE["tokenizer_json"], public_tokenizers.PATTERN)
     joined = F.array_join(F.col("ids").cast("array<string>"), ",")
@@ -95,7 +123,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_sharding, op2_vector_links, op3_packing, op4_quality, op5_pii, op6_exact_dedup, op7_page_text, op8_warc,
-        op9_simhash, op10_pieces, op13_byte_pairs,
+        op9_simhash, op10_pieces, op12_periodic, op13_byte_pairs,
     )
 }
 
