@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from letterloom.llm.byte_pairs import encode_byte_pairs
 from letterloom.llm.common import table, work_folder
 from letterloom.llm.exact_dedup import exact_groups
+from letterloom.llm.filter_audit import audit_filters
 from letterloom.llm.html_text import extract_pages
 from letterloom.llm.packing import pack_documents
 from letterloom.llm.periodic import find_runs
@@ -81,6 +82,10 @@ def op10_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit_filters(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def with_planted_runs(documents: DataFrame) -> DataFrame:
     """(doc_id, text): about every tenth text, chosen by its id, ends in a run of words that the id fixes."""
     words = F.array_remove(F.split("text", r"[\x20\x09-\x0D]+"), "")
@@ -123,7 +128,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_sharding, op2_vector_links, op3_packing, op4_quality, op5_pii, op6_exact_dedup, op7_page_text, op8_warc,
-        op9_simhash, op10_pieces, op12_periodic, op13_byte_pairs,
+        op9_simhash, op10_pieces, op11_filter_audit, op12_periodic, op13_byte_pairs,
     )
 }
 
@@ -180,6 +185,48 @@ ORACLE: dict[str, str] = {
             case when size >= 100 and page_id <> first then first end as refers_to
         from f
     """,
+    # every order and step played through over the documents' sets of failures; the Shapley sums are those of all steps
+    "op11_filter_audit": r"""
+        with d as (
+            select doc_id, coalesce(lang, '') as part, coalesce(text, '') as body,
+                list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '') as w
+            from documents
+        ), l as (
+            select doc_id, max((quality = 1)::int) as good, max((toxic = 1)::int) as toxic from labels group by doc_id
+        ), f as (
+            select part, coalesce(good, 0) as good, coalesce(toxic, 0) as toxic, len(w) < 100 as a,
+                100 * len(list_distinct(w)) < 80 * len(w) as b,
+                100 * length(regexp_replace(body, '[^A-Z]+', '', 'g')) > 10 * length(body) as c,
+                regexp_matches(body, '[#$%&*|]') as d,
+                coalesce(d.doc_id > min(d.doc_id) over (partition by body), false) as e
+            from d left join l on l.doc_id = d.doc_id
+        ), masks as (
+            select part, case when a then 'A' else '' end || case when b then 'B' else '' end || case when c then 'C' else '' end
+                || case when d then 'D' else '' end || case when e then 'E' else '' end as fails,
+                count(*) as n, sum(good) as good, sum(toxic) as toxic
+            from f group by all
+        ), letters as (select unnest(['A', 'B', 'C', 'D', 'E']) as x), orders as (
+            select p.x || q.x || r.x || s.x || t.x as filter_order
+            from letters p, letters q, letters r, letters s, letters t
+            where len(list_distinct([p.x, q.x, r.x, s.x, t.x])) = 5
+        ), steps as (
+            select part, filter_order, step, filter_order[step] as filter,
+                sum(case when not has_before and not has then n else 0 end)::bigint as kept,
+                sum(case when not has_before and has then n else 0 end)::bigint as removed,
+                sum(case when has_before and has then n else 0 end)::bigint as redundant,
+                sum(case when fails = filter_order[step] then n else 0 end)::bigint as unique_fails,
+                sum(case when not has_before and has then good else 0 end)::bigint as good_lost,
+                sum(case when not has_before and has then toxic else 0 end)::bigint as toxic_lost
+            from (
+                select *, contains(fails, filter_order[step]) as has,
+                    len(list_filter(string_split(fails, ''), lambda x: x <> '' and contains(filter_order[:step - 1], x))) > 0 as has_before
+                from masks, orders, (select unnest(range(1, 6))::int as step)
+            ) group by part, filter_order, step
+        )
+        select part, filter_order, step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+            sum(removed) over (partition by part, filter)::bigint as shapley
+        from steps
+    """,
     # the checksum a byte at a time through its table of 256 values; shards here are one slot bucket each
     "op1_sharding": f"""
         with lut as (
