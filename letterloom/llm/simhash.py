@@ -205,3 +205,30 @@ def drop_near_copies(documents: DataFrame, key: str = "doc_id", text: str = "tex
     printed = documents.withColumn("_print", digits.asNondeterministic()(F.col(text)))
     same = (F.col(key) == F.col("_dropped")) & (F.col("_print") == F.col("_digits"))
     return printed.join(dropped.hint("shuffle_hash"), same, "left_anti").drop("_print")
+
+
+def one_per_group(
+    documents: DataFrame, key: str = "doc_id", text: str = "text", words: int = 3, radius: int = 3
+) -> DataFrame:
+    """One row of each group of :func:`simhash_groups`, with all its columns: that of the smallest key.
+
+    Null keys come last, and of rows with one key that of the smallest SHA-256 of its text stays. Null
+    texts are empty texts. An empty table gives no rows.
+
+    A text's fingerprint is computed once. Of equal texts one row is chosen before the shuffle, which then
+    moves each text once; the rows that stay are looked up where that shuffle has put them.
+    """
+    digest = F.sha2(F.coalesce(F.col(text), F.lit("")).cast("binary"), 256)
+    order = F.struct(F.isnull(key).alias("nameless"), F.col(key).alias("key"), digest.alias("digest"))
+
+    @F.pandas_udf("long")
+    def of(column: pd.Series) -> pd.Series:
+        return pd.Series([fingerprint(t, words) for t in column], dtype="int64")
+
+    distinct = cut(documents.select(of(F.col(text)).alias("fp"), order.alias("row")).groupBy("fp").agg(F.min("row").alias("row")))
+    linked = components(near_links(distinct, radius)).withColumnsRenamed({"node": "fp", "component": "root"})
+    groups = distinct.join(linked, "fp", "left").groupBy(F.coalesce("root", "fp"))
+    staying = groups.agg(F.min("row").alias("row")).select(F.col("row.digest").alias("_digest"))
+    one_row = F.min_by(F.struct(*documents.columns), F.struct(F.isnull(key), F.col(key), F.xxhash64(text))).alias("_row")
+    texts = documents.groupBy(digest.alias("_digest")).agg(one_row)
+    return texts.join(staying, "_digest", "left_semi").select("_row.*")

@@ -1,11 +1,13 @@
 from __future__ import annotations
 
+import hashlib
+
 import numpy as np
 import pytest
 import xxhash
 
 from letterloom.llm import simhash
-from letterloom.llm.simhash import _spanning, drop_near_copies, fingerprint, near_links, simhash_groups
+from letterloom.llm.simhash import _spanning, drop_near_copies, fingerprint, near_links, one_per_group, simhash_groups
 
 
 def plain(text):
@@ -79,3 +81,23 @@ def test_a_repeated_key_loses_no_text(spark):
     rows = [(1, "one and the same text"), (5, "one and the same text"), (5, "quite another one, with nothing in common")]
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
     assert sorted(map(tuple, drop_near_copies(docs).collect())) == [rows[0], rows[2]]
+
+
+def test_one_row_of_each_group_stays(spark, docs, texts, no_docs):
+    """Groups by brute force; of each the row with the smallest key, then the smallest digest."""
+    rng = np.random.default_rng(7)
+    base = [[f"w{rng.integers(300)}" for _ in range(400)] for _ in range(12)]
+    near = [" ".join([*b[:at], "other", *b[at + 1 :]]) for b in base for at in (0, 7, 399)]
+    rows = [*texts, *((500 - k, t) for k, t in enumerate(near)), (None, near[0]), (450, near[1]), (450, near[2]), (7, near[3])]
+    prints = [plain(t) for _, t in rows]
+    links = [(a, b) for a in range(len(rows)) for b in range(a) if (prints[a] ^ prints[b]).bit_count() <= 3]
+    roots, groups = closure(range(len(rows)), links), {}
+    for p, (k, t) in enumerate(rows):
+        groups.setdefault(roots[p], []).append((k is None, k or 0, hashlib.sha256((t or "").encode()).hexdigest(), k, t or ""))
+    want = [min(g)[3:] for g in groups.values()]
+    many = spark.createDataFrame([(k, t, "clash") for k, t in rows], "doc_id long, text string, row string").repartition(5)
+    got = one_per_group(many)
+    assert got.columns == many.columns
+    assert sorted(((r["doc_id"], r["text"] or "") for r in got.collect()), key=repr) == sorted(want, key=repr)
+    assert len(groups) <= len(rows) - 30
+    assert one_per_group(no_docs).collect() == []
