@@ -73,9 +73,14 @@ def parse_address(text: Column) -> Column:
         F.replace(F.replace(text, F.lit(" () "), F.lit("@")), F.lit(" ! "), F.lit(".")),
     ).otherwise(text)
 
+    def bare(text: Column) -> Column:
+        """The first run of visible characters with an "@" inside it, by one cut at the white space."""
+        runs = F.when(F.contains(text, F.lit("@")), F.split(text, r"\s+"))
+        return F.get(F.filter(runs, lambda run: F.contains(F.substring(run, F.lit(2), F.length(run) - 2), F.lit("@"))), F.lit(0))
+
     def inside(text: Column) -> Column:
         angle = F.nullif(F.regexp_extract(text, r"<([^<>]*)>", 1), F.lit(""))
-        return F.btrim(F.coalesce(angle, F.regexp_extract(text, r"(\S+@\S+)", 1)))
+        return F.btrim(F.coalesce(angle, bare(text)))
 
     return bind(bind(plain, inside), lambda found: F.when(is_address(found), found))
 

@@ -57,6 +57,17 @@ def unescape(text: Column) -> Column:
     return bind(text, replace_all)
 
 
+def _without_tags(text: Column) -> Column:
+    """The text without its tags, in time that grows with its length.
+
+    No tag begins behind the last ">". Before it every "<" of a tag finds an end, and what has been read
+    in search of it is removed with the tag, but for one look at the quotes up to the next "<".
+    """
+    tail = F.substring_index(text, ">", -1)
+    head = F.left(text, F.length(text) - F.length(tail))
+    return F.concat(F.regexp_replace(head, TAG, ""), tail)
+
+
 def html_text(html: Column) -> Column:
     """The text content of a page or an HTML body, trimmed."""
-    return strip_blank(unescape(F.regexp_replace(F.regexp_replace(html, HIDDEN, ""), TAG, "")))
+    return strip_blank(unescape(bind(F.regexp_replace(html, HIDDEN, ""), _without_tags)))
