@@ -2,43 +2,49 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 from functools import reduce
-from operator import and_
+from operator import and_, or_
 
+import numpy as np
+import pandas as pd
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from letterloom.functions.tagging import segments
-from letterloom.functions.text import bind
-from letterloom.operators.lookup import BROADCAST_LIMIT_BYTES, Lookup, lookup_join, measure
-
+from letterloom.functions.names import PrefixFilter, Trie, prefix_hashes, relabel, segments_of, tagged, trie_matches, walk
+from letterloom.operators.lookup import Lookup, lookup_join, measure
 
 WORD_START = r"^[\p{L}\p{N}_]"
-# Bits of the filter that words pass before they become rows, whatever the number of names.
-HEAD_BITS = 1 << 16
+#: Names of at most so many bytes are held as a trie in every worker; more are found by a join.
+TRIE_LIMIT_BYTES = 16 * 1024 * 1024
+#: Bits of the filter for more names: at least and at most, whatever their number.
+FILTER_BITS = (1 << 16, 1 << 26)
+
+SPOT = "at int, span int, size int"
 
 
 @dataclass(frozen=True)
 class Gazetteer:
-    """Known names with their labels, an index by first word, and a bit filter of first words."""
+    """Known names with their labels, and what the rows of texts carry: a trie, or a filter of prefixes."""
 
     names: Lookup
-    heads: Lookup
     longest: int
-    head_bits: tuple[int, ...]
-
+    trie: Broadcast | None
+    prefixes: Broadcast | None
 
-def _slot(head: Column) -> Column:
-    return F.pmod(F.xxhash64(head), F.lit(HEAD_BITS))
+    @property
+    def in_row(self) -> bool:
+        """Whether texts are tagged in their own rows, without a join; such a gazetteer also serves a stream."""
+        return self.trie is not None
 
 
-def read_gazetteer(table: DataFrame, limit: int = BROADCAST_LIMIT_BYTES) -> Gazetteer:
+def read_gazetteer(table: DataFrame, limit: int = TRIE_LIMIT_BYTES) -> Gazetteer:
     """Prepare a (surface, label) table; a surface listed twice keeps its first label.
 
-    A name starts with a letter, digit or underscore. It spans as many segments
-    as its words and the gaps between them.
+    A name starts with a letter, digit or underscore. It spans as many segments as its words and the gaps
+    between them. Names are measured; those within ``limit`` bytes go through the driver into a trie.
     """
     names = (
         table.select(F.btrim("surface").alias("surface"), "label")
@@ -46,102 +52,86 @@ def read_gazetteer(table: DataFrame, limit: int = BROADCAST_LIMIT_BYTES) -> Gaze
         .groupBy("surface")
         .agg(F.min("label").alias("label"))
     )
-    cut = segments(F.col("surface"))
-    spans = names.select(F.get(cut, F.lit(0)).alias("head"), F.size(cut).alias("span"))
-    heads = spans.groupBy("head").agg(F.collect_set("span").alias("spans"))
-    longest = spans.agg(F.max("span")).first()[0] or 1
-    measured = measure(names, limit)
-    return Gazetteer(measured, measured.derive(heads), longest, _bit_filter(heads))
-
-
-def _bit_filter(heads: DataFrame) -> tuple[int, ...]:
-    """Longs with the bit of each first word set; their number is fixed."""
-    slots = heads.select(_slot(F.col("head")).alias("slot"))
-    bits = slots.groupBy(F.expr("slot div 64").alias("at")).agg(
+    measured, context = measure(names, limit), table.sparkSession.sparkContext
+    if measured.fits:
+        held = names.toArrow()
+        trie = Trie.of(held["surface"].to_pylist(), held["label"].to_pylist())
+        longest = max((len(segs) for segs in segments_of(trie.names)), default=0)
+        return Gazetteer(measured, longest, context.broadcast(trie), None)
+    prefixes = _prefix_table(names)
+    longest, count = prefixes.agg(F.max("span"), F.count(F.lit(1))).first()
+    bits = min(max(FILTER_BITS[0], 1 << (16 * (count or 0)).bit_length()), FILTER_BITS[1])
+    return Gazetteer(measured, longest or 0, None, context.broadcast(PrefixFilter(_bits(prefixes, bits))))
+
+
+def _prefix_table(names: DataFrame) -> DataFrame:
+    """(hash, span): the hash of every prefix of a name, with the number of segments of the name."""
+
+    def hashed(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            surfaces = frame["surface"].tolist()
+            hashes, name, _ = prefix_hashes(surfaces)
+            spans = np.array([len(segs) for segs in segments_of(surfaces)], np.int64)
+            yield pd.DataFrame({"hash": hashes.view(np.int64), "span": spans[name]})
+
+    return names.select("surface").mapInPandas(hashed, "hash long, span long")
+
+
+def _bits(prefixes: DataFrame, count: int) -> np.ndarray:
+    """A bit for each hash in ``count / 64`` words, which is all that reaches the driver; ``count`` is a power of two."""
+    slots = prefixes.select(F.col("hash").bitwiseAND(F.lit(count - 1)).alias("slot"))
+    words = slots.groupBy(F.expr("slot div 64").alias("at")).agg(
         F.expr("bit_or(shiftleft(1L, cast(slot % 64 as int)))").alias("bits")
     )
-    held = {row["at"]: row["bits"] for row in bits.collect()}
-    return tuple(held.get(at, 0) for at in range(HEAD_BITS // 64))
+    out = np.zeros(count // 64, np.int64)
+    for row in words.toLocalIterator():
+        out[row["at"]] = row["bits"]
+    return out.view(np.uint64)
 
 
-def find_entities(
-    df: DataFrame, key: Sequence[str], fields: Sequence[str], gazetteer: Gazetteer
-) -> DataFrame:
-    """(key, field, at, span, size, label) of every place a known name stands.
-
-    Words that no name starts with are mostly dropped in the text's row, by a bit filter of fixed size;
-    the others become rows with the few segments after them, and the first join drops the rest before
-    longer candidates are formed.
-    """
-    texts = F.array(*[F.struct(F.lit(f).alias("field"), F.col(f).alias("text")) for f in fields])
-    cut = df.select(*key, F.inline(texts)).select(*key, "field", segments(F.col("text")).alias("segs"))
-    bits = F.lit([*gazetteer.head_bits]).cast("array<bigint>")
-
-    def may_start(place: Column) -> Column:
-        slot = _slot(place["head"])
-        return F.bit_get(F.get(bits, (slot / 64).cast("int")), (slot % 64).cast("int")) == 1
-
-    spots = F.transform("segs", lambda seg, i: F.struct(i.alias("at"), seg.alias("head")))
-    places = F.filter(spots, may_start)
-    windows = F.transform(
-        places,
-        lambda p: F.struct(
-            p["at"].alias("at"),
-            p["head"].alias("head"),
-            F.slice("segs", p["at"] + 1, gazetteer.longest).alias("window"),
-        ),
-    )
-    starts = cut.select(*key, "field", F.inline(windows))
-    near = lookup_join(starts, gazetteer.heads, "head", "inner")
-    candidates = near.select(*key, "field", "at", "window", F.explode("spans").alias("span")).select(
-        *key, "field", "at", "span", F.array_join(F.slice("window", F.lit(1), F.col("span")), "").alias("surface")
-    )
-    found = lookup_join(candidates, gazetteer.names, "surface", "inner")
-    return found.select(*key, "field", "at", "span", F.length("surface").alias("size"), "label")
-
-
-def _keep_longest(matches: Column) -> Column:
-    """Matches that do not overlap: the longest first, then the leftmost."""
-    ordered = F.array_sort(
-        F.transform(
-            matches,
-            lambda m: F.struct(
-                (-m["size"]).alias("rank"), m["at"].alias("at"), m["span"].alias("span"), m["label"].alias("label")
-            ),
-        )
-    )
+def _found_in_row(text: Column, gazetteer: Gazetteer) -> Column:
+    """Matches as structs (at, span, size, label), from the trie."""
+    trie, longest = gazetteer.trie, gazetteer.longest
 
-    def add(kept: Column, m: Column) -> Column:
-        clash = F.exists(
-            kept, lambda k: (k["at"] < m["at"] + m["span"]) & (m["at"] < k["at"] + k["span"])
-        )
-        return F.when(clash, kept).otherwise(F.concat(kept, F.array(m)))
+    @F.pandas_udf(f"array<struct<{SPOT}, label string>>")
+    def found(texts: pd.Series) -> pd.Series:
+        return pd.Series(trie_matches(segments_of(texts), trie.value, longest), dtype=object)
 
-    kept = F.aggregate(ordered, F.slice(ordered, 1, 0), add)
-    return F.array_sort(F.transform(kept, lambda m: F.struct(m["at"], m["span"], m["label"])))
+    return found(text)
 
 
-def _rebuild(segs: Column, kept: Column) -> Column:
-    """The text of the segments with each kept match replaced by its label."""
+def _candidates(text: Column, gazetteer: Gazetteer) -> Column:
+    """Structs (at, span, size, surface) of what may be a name, by the filter."""
+    prefixes, longest = gazetteer.prefixes, gazetteer.longest
 
-    def end(m: Column) -> Column:
-        return m["at"] + m["span"]
+    @F.pandas_udf(f"array<struct<{SPOT}, surface string>>")
+    def spots(texts: pd.Series) -> pd.Series:
+        cut = segments_of(texts)
+        out = [[] for _ in cut]
+        text, at, span, _ = walk(cut, prefixes.value.known, longest)
+        for k, i, n in zip(text.tolist(), at.tolist(), span.tolist()):
+            surface = "".join(cut[k][i : i + n])
+            out[k].append((i, n, len(surface), surface))
+        return pd.Series(out, dtype=object)
 
-    def piece(m: Column, i: Column) -> Column:
-        before = F.when(i == 0, 0).otherwise(end(F.get(kept, i - 1)))
-        return F.concat(F.array_join(F.slice(segs, before + 1, m["at"] - before), ""), m["label"])
+    return spots(text)
 
-    last = end(F.element_at(kept, -1))
-    rest = F.array_join(F.slice(segs, last + 1, F.greatest(F.size(segs) - last, F.lit(0))), "")
-    return F.concat(F.array_join(F.transform(kept, piece), ""), rest)
 
+def find_entities(
+    df: DataFrame, key: Sequence[str], fields: Sequence[str], gazetteer: Gazetteer
+) -> DataFrame:
+    """(key, field, at, span, size, label) of every place a known name stands.
 
-def _label(text: Column, matches: Column) -> Column:
-    """Only texts with a match are cut and joined again."""
-    labelled = bind(
-        _keep_longest(matches), lambda kept: bind(segments(text), lambda segs: _rebuild(segs, kept))
-    )
-    return F.when(F.size(matches) > 0, labelled).otherwise(text)
+    ``at`` and ``span`` count segments, ``size`` characters. A gazetteer within its limit is looked up in the
+    text's row. For a larger one a filter of fixed size leaves few other places, and those are joined with
+    the names: a place moves with the words of its candidate, never with its text.
+    """
+    of = _found_in_row if gazetteer.in_row else _candidates
+    texts = F.array(*[F.struct(F.lit(f).alias("field"), of(F.col(f), gazetteer).alias("spots")) for f in fields])
+    spots = df.select(*key, F.inline(texts)).select(*key, "field", F.inline("spots"))
+    if not gazetteer.in_row:
+        spots = lookup_join(spots, gazetteer.names, "surface", "inner")
+    return spots.select(*key, "field", "at", "span", "size", "label")
 
 
 def tag_entities(
@@ -149,23 +139,43 @@ def tag_entities(
 ) -> DataFrame:
     """Replace known names by their labels in the given text columns.
 
-    ``df`` is read twice, once for the matches and once for the texts, so pass
-    a stored or checkpointed frame. Rows are told apart by ``key`` and a hash of
-    their texts, so keys may repeat or be null.
+    Of names that overlap the longest stays, then the leftmost. Null texts stay null. A gazetteer within
+    its limit works row by row, in batch or stream, and nothing is shuffled. For a larger one ``df`` is read
+    several times, so pass a stored or checkpointed frame: only texts with a candidate meet the matches
+    found in them. Rows are told apart by ``key`` and a hash of their texts, so keys may repeat or be null.
     """
+    if not gazetteer.in_row:
+        return _tag_by_join(df, key, fields, gazetteer)
+    trie, longest = gazetteer.trie, gazetteer.longest
+
+    @F.pandas_udf("string")
+    def tag(texts: pd.Series) -> pd.Series:
+        return pd.Series(tagged(texts.tolist(), trie.value, longest), dtype=object)
+
+    return df.select(*[tag(F.col(c)).alias(c) if c in fields else df[c] for c in df.columns])
+
+
+def _tag_by_join(df: DataFrame, key: Sequence[str], fields: Sequence[str], gazetteer: Gazetteer) -> DataFrame:
     own = [*key, "_print"]
     printed = df.withColumn("_print", F.xxhash64(*fields))
+    hit = reduce(or_, [F.coalesce(F.size(_candidates(F.col(f), gazetteer)) > 0, F.lit(False)) for f in fields])
     found = find_entities(printed, own, fields, gazetteer)
     per_row = found.groupBy(*own).agg(
         F.collect_set(F.struct("field", "at", "span", "size", "label")).alias("_found")
     )
     named = per_row.select(*[F.col(name).alias(f"_own{i}") for i, name in enumerate(own)], "_found")
     same = reduce(and_, [F.col(name).eqNullSafe(F.col(f"_own{i}")) for i, name in enumerate(own)])
-    out = printed.join(named, same, "left")
-
-    def of_field(name: str) -> Column:
-        return F.filter("_found", lambda m: m["field"] == name)
 
-    for name in fields:
-        out = out.withColumn(name, _label(F.col(name), of_field(name)))
-    return out.select(*df.columns)
+    @F.pandas_udf("string")
+    def replaced(texts: pd.Series, found: pd.Series, fields: pd.Series) -> pd.Series:
+        out = []
+        for text, spots, field in zip(texts, found, fields):
+            own = [(s["at"], s["span"], s["size"], s["label"]) for s in spots if s["field"] == field] if spots is not None else []
+            out.append(relabel(segments_of([text])[0], own) if own else text)
+        return pd.Series(out, dtype=object)
+
+    met = printed.where(hit).join(named, same, "left")
+    labelled = met.select(
+        *[replaced(F.col(c), F.col("_found"), F.lit(c)).alias(c) if c in fields else F.col(c) for c in df.columns]
+    )
+    return df.where(~hit).unionByName(labelled)

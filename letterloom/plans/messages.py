@@ -98,9 +98,11 @@ def _extract(raw: DataFrame, options: MailOptions) -> DataFrame:
 def _tag(df: DataFrame, options: MailOptions, gazetteer: Gazetteer | None) -> DataFrame:
     """Entities, then patterns, then surrogates, in subject and body."""
     if gazetteer is not None:
-        # The frame is read twice below; the parser should not run twice.
-        ensure_checkpoint_dir(df.sparkSession)
-        df = tag_entities(df.checkpoint(), ROW_KEY, ("subject", "body"), gazetteer)
+        if not gazetteer.in_row:
+            # The frame is read several times below; the parser should run once.
+            ensure_checkpoint_dir(df.sparkSession)
+            df = df.checkpoint()
+        df = tag_entities(df, ROW_KEY, ("subject", "body"), gazetteer)
     for name in ("subject", "body"):
         text = tag_patterns(F.col(name), options.number_words)
         if options.fill_surrogates:
@@ -117,8 +119,8 @@ def classify_messages(
 
     ``reason`` is null for an accepted message; the message columns of a
     rejected one are null. The input has the Kafka row columns; others pass
-    through, and ``value`` is dropped once it is read. Batch and streaming use this same function; a gazetteer needs a
-    batch frame, so a stream passes one inside ``foreachBatch``.
+    through, and ``value`` is dropped once it is read. Batch and streaming use this same function; a gazetteer beyond
+    its limit needs a batch frame, so a stream passes one inside ``foreachBatch``.
 
     The closing ``stage`` counts the outcomes at no extra pass and keeps later
     filters on ``reason`` from evaluating the cleaning expressions again.

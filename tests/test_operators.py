@@ -4,14 +4,17 @@ from __future__ import annotations
 
 import datetime as dt
 import random
+import time
 from collections import Counter
 
 import pytest
+import regex
 from pyspark.sql import functions as F
 
 from letterloom.functions.tagging import segments
 from letterloom.operators.bow import bow_counts, bow_vectors
-from letterloom.operators.entities import HEAD_BITS, read_gazetteer, tag_entities
+from letterloom.functions.names import keep_longest, tagged
+from letterloom.operators.entities import FILTER_BITS, find_entities, read_gazetteer, tag_entities
 from letterloom.operators.lookup import Lookup, lookup_join, measure
 from letterloom.operators.ranking import global_rank, half_split
 from letterloom.operators.recipients import explode_recipients
@@ -68,18 +71,24 @@ def test_vocabulary(spark):
     assert {r["term"]: r["idx"] for r in rows} == {t: i for i, t in enumerate(want)}
 
 
-def brute_entities(text: str, names: dict[str, str]) -> str:
-    import regex
+def cut_up(text: str) -> list[str]:
+    return regex.findall(r"[\p{L}\p{N}_]+|[^\p{L}\p{N}_]+", text)
+
 
-    segs = regex.findall(r"[\p{L}\p{N}_]+|[^\p{L}\p{N}_]+", text)
-    found = []
+def brute_places(text: str, names: dict[str, str]) -> list[tuple]:
+    """(at, span, size, label) of every name at every place."""
+    segs, found = cut_up(text), []
     for surface, label in names.items():
-        span = len(regex.findall(r"[\p{L}\p{N}_]+|[^\p{L}\p{N}_]+", surface))
+        span = len(cut_up(surface))
         for i in range(len(segs) - span + 1):
             if "".join(segs[i : i + span]) == surface:
-                found.append((-len(surface), i, span, label))
-    kept = []
-    for _, i, span, label in sorted(found):
+                found.append((i, span, len(surface), label))
+    return found
+
+
+def brute_entities(text: str, names: dict[str, str]) -> str:
+    segs, kept = cut_up(text), []
+    for i, span, _, label in sorted(brute_places(text, names), key=lambda m: (-m[2], m[0])):
         if all(i >= j + s or j >= i + span for j, s, _ in kept):
             kept.append((i, span, label))
     for i, span, label in sorted(kept, reverse=True):
@@ -98,7 +107,10 @@ def test_entities(spark, limit):
     rows = [(i, t, texts[-i]) for i, t in enumerate(texts)] + [(999, None, "Bob")]
     df = spark.createDataFrame(rows, "i int, one string, two string").repartition(3)
     gazetteer = read_gazetteer(spark.createDataFrame(list(names.items()), "surface string, label string"), limit)
-    assert len(gazetteer.head_bits) == HEAD_BITS // 64
+    assert gazetteer.in_row == (limit > 0)
+    assert gazetteer.in_row or len(gazetteer.prefixes.value.bits) * 64 == FILTER_BITS[0]
+    places = {tuple(r) for r in find_entities(df, ["i"], ["one", "two"], gazetteer).collect()}
+    assert places == {(i, f, *p) for i, a, b in rows for f, t in (("one", a), ("two", b)) for p in brute_places(t or "", names)}
     got = {r["i"]: (r["one"], r["two"]) for r in tag_entities(df, ["i"], ["one", "two"], gazetteer).collect()}
     assert got == {i: (a and brute_entities(a, names) if a else a, brute_entities(b, names)) for i, a, b in rows}
 
@@ -110,6 +122,44 @@ def test_entities_of_rows_that_share_a_key(spark):
     assert sorted(map(tuple, got.collect()), key=repr) == sorted([(k, t and t.replace("Bob", "PERSON")) for k, t in rows], key=repr)
 
 
+def test_many_names_in_one_text(spark):
+    """50,000 names that overlap, in well under the time that comparing each with each would take."""
+    names = {"New York": "GPE", "York New": "LOC", "New York New York": "ORG", "New": "LAW"}
+    gazetteer = read_gazetteer(spark.createDataFrame(list(names.items()), "surface string, label string"))
+    text = "New York " * 25_000
+    tagged(["warm up"], gazetteer.trie.value, gazetteer.longest)
+    started = time.monotonic()
+    assert tagged([text], gazetteer.trie.value, gazetteer.longest) == ["ORG " * 12_500]
+    assert time.monotonic() - started < 2
+    assert keep_longest(5, [(0, 3, 9, "a"), (2, 3, 9, "b"), (2, 1, 3, "c"), (3, 1, 3, "d")]) == [(0, 3, "a"), (3, 1, "d")]
+
+
+def test_entities_move_no_text(spark):
+    """No shuffle and one Python step for a gazetteer within its limit; none at all of texts."""
+    gazetteer = read_gazetteer(spark.createDataFrame([("Bob", "PERSON")], "surface string, label string"))
+    df = spark.createDataFrame([(1, "Bob", "to Bob")], "i int, one string, two string")
+    plan = tag_entities(df, ["i"], ["one", "two"], gazetteer)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and plan.count("ArrowEvalPython") == 1
+
+
+def test_names_beyond_the_limit_move_few_texts(spark):
+    """Texts without a candidate stay where they are."""
+    gazetteer = read_gazetteer(spark.createDataFrame([("Bob Ray", "PERSON")], "surface string, label string"), 0)
+    rows = [(i, "nobody here") for i in range(500)] + [(900, "see Bob Ray"), (901, "see Bob Roy"), (902, None), (903, "Bob")]
+    df = spark.createDataFrame(rows, "i int, text string").repartition(3)
+    spots = find_entities(df, ["i"], ["text"], gazetteer)
+    assert [tuple(r) for r in spots.collect()] == [(900, "text", 2, 3, 7, "PERSON")]
+    got = {r["i"]: r["text"] for r in tag_entities(df, ["i"], ["text"], gazetteer).collect()}
+    assert got == {i: t and t.replace("Bob Ray", "PERSON") for i, t in rows}
+
+
+def test_no_names(spark):
+    for limit in (0, 1 << 20):
+        gazetteer = read_gazetteer(spark.createDataFrame([("!", "x")], "surface string, label string"), limit)
+        df = spark.createDataFrame([(1, "Bob")], "i int, text string")
+        assert [tuple(r) for r in tag_entities(df, ["i"], ["text"], gazetteer).collect()] == [(1, "Bob")]
+
+
 def test_segments_join_back(column):
     texts = ["", "a b", "  x--é_1 !", "\n\n"]
     assert column(texts, lambda c: F.array_join(segments(c), "")) == texts
