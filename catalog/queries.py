@@ -89,9 +89,9 @@ def _texts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _document_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    batch = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    files = spark.readStream.schema(batch.schema).option("pathGlobFilter", "documents.parquet")
-    return as_kafka_rows(files.parquet(sf_dir))
+    """The table as a stream, be it one file or a folder of files."""
+    path = f"{sf_dir}/documents.parquet"
+    return as_kafka_rows(spark.readStream.schema(spark.read.parquet(path).schema).parquet(path))
 
 
 # sources and sinks
