@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from letterloom.functions.tagging import NUMBER_WORDS
-from letterloom.functions.text import ASCII_WHITESPACE, strip_punctuation
+from letterloom.functions.text import ASCII_WHITESPACE, bind, strip_punctuation
 
 MAIL_LIKE = r"^[a-zA-Z0-9_.+-]+@[a-zA-Z0-9-]+\.[a-zA-Z0-9-.]+"
 URL_STARTS = ("http", "ftp", "www")
@@ -21,6 +21,28 @@ def words(text: Column) -> Column:
     )
 
 
+def counted(items: Column) -> Column:
+    """Structs (word, cnt) of the distinct items in order, from the runs of equal ones once they are sorted; null has none."""
+
+    def runs(ordered: Column) -> Column:
+        size = F.size(ordered)
+        places = F.when(size > 0, F.sequence(F.lit(0), size - 1)).otherwise(F.array().cast("array<int>"))
+        starts = F.filter(places, lambda i: (i == 0) | (F.get(ordered, i) != F.get(ordered, i - 1)))
+
+        def entries(starts: Column) -> Column:
+            return F.transform(
+                starts,
+                lambda at, k: F.struct(
+                    F.get(ordered, at).alias("word"),
+                    (F.coalesce(F.get(starts, k + 1), size) - at).cast("long").alias("cnt"),
+                ),
+            )
+
+        return bind(starts, entries)
+
+    return bind(F.sort_array(items), runs)
+
+
 def plural_stem(token: Column) -> Column:
     """The three rules of the S-stemmer; the first whose ending fits decides.
 

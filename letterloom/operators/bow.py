@@ -8,8 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from letterloom.functions.text import fold_accents
-from letterloom.functions.tokens import keeps
-from letterloom.operators.lookup import Lookup, lookup_join
+from letterloom.functions.tokens import counted, keeps
+from letterloom.operators.lookup import Lookup, lookup_join, measure
 
 # Words of two characters or more.
 WORD = r"[\p{L}\p{N}_]{2,}"
@@ -28,30 +28,32 @@ def _words(text: Column) -> Column:
     return F.regexp_extract_all(fold_accents(text), F.lit(WORD), F.lit(0))
 
 
-def _indexed_words(texts: DataFrame, key: Sequence[str], vocabulary: Lookup, how: str) -> DataFrame:
-    generator = F.explode if how == "inner" else F.explode_outer
-    rows = texts.select(*key, "field", generator(_words(F.col("text"))).alias("word"))
-    return lookup_join(rows, fold_vocabulary(vocabulary), "word", how)
+def _counted_words(texts: DataFrame, key: Sequence[str]) -> DataFrame:
+    """(key, field, pos, word, cnt): the distinct words of each text, counted in its own row; a text without any has one row."""
+    generator = F.posexplode_outer(counted(_words(F.col("text")))).alias("pos", "entry")
+    return texts.select(*key, "field", generator).select(*key, "field", "pos", "entry.*")
 
 
 def bow_counts(texts: DataFrame, key: Sequence[str], vocabulary: Lookup) -> DataFrame:
     """(key, field, idx, cnt) with the zero counts left out.
 
-    ``texts`` has (key, field, text). Counts are summed before the shuffle.
+    ``texts`` has (key, field, text). Known words are counted in each task before the shuffle. The outer
+    explode keeps Catalyst from cutting each text twice, once in a filter on the number of words.
     """
-    hits = _indexed_words(texts, key, vocabulary, "inner")
+    words = texts.select(*key, "field", F.explode_outer(_words(F.col("text"))).alias("word"))
+    hits = lookup_join(words, fold_vocabulary(vocabulary), "word", "inner")
     return hits.groupBy(*key, "field", "idx").agg(F.count(F.lit(1)).alias("cnt"))
 
 
 def _sparse_rows(indexed: DataFrame, key: Sequence[str]) -> DataFrame:
-    """Rows of (key, field, idx) to sparse rows; a null index only keeps its text.
+    """Rows of (key, field, idx, cnt) to sparse rows; a null index only keeps its text.
 
     Dealt by text once: both aggregations then find their rows in place.
     """
-    counted = indexed.repartition(*key, "field").groupBy(*key, "field", "idx").agg(F.count(F.lit(1)).alias("cnt"))
+    summed = indexed.repartition(*key, "field").groupBy(*key, "field", "idx").agg(F.sum("cnt").alias("cnt"))
     cells = F.array_sort(F.collect_list(F.when(F.col("idx").isNotNull(), F.struct("idx", "cnt"))))
     return (
-        counted.groupBy(*key, "field")
+        summed.groupBy(*key, "field")
         .agg(cells.alias("cells"))
         .select(
             *key,
@@ -63,30 +65,35 @@ def _sparse_rows(indexed: DataFrame, key: Sequence[str]) -> DataFrame:
 
 
 def bow_vectors(texts: DataFrame, key: Sequence[str], vocabulary: Lookup) -> DataFrame:
-    """(key, field, indices, values): one sparse row per text, empty ones included."""
-    return _sparse_rows(_indexed_words(texts, key, vocabulary, "left"), key)
+    """(key, field, indices, values): one sparse row per text, empty ones included.
+
+    Of words that are not known only one a text is kept until the shuffle, for the text's row.
+    """
+    found = lookup_join(_counted_words(texts, key), fold_vocabulary(vocabulary), "word", "left")
+    needed = found.where(F.col("idx").isNotNull() | (F.coalesce("pos", F.lit(0)) == 0))
+    return _sparse_rows(needed.select(*key, "field", "idx", "cnt"), key)
 
 
 def _term_indices(vocabulary: Lookup) -> Lookup:
     """(lemma, idxs): the indices a term counts for when it stands in a text."""
     words = vocabulary.table.select("term", F.explode_outer(_words(F.col("term"))).alias("word"))
     known = words.join(fold_vocabulary(vocabulary).table, "word", "left")
-    return vocabulary.derive(
-        known.groupBy(F.col("term").alias("lemma")).agg(F.collect_list("idx").alias("idxs"))
+    return measure(
+        known.groupBy(F.col("term").alias("lemma")).agg(F.collect_list("idx").alias("idxs")), vocabulary.limit
     )
 
 
 def lemma_vectors(lemmatised: DataFrame, key: Sequence[str], vocabulary: Lookup) -> DataFrame:
-    """Sparse rows straight from (key, field, pos, token, lemma).
+    """Sparse rows straight from (key, field, pos, token, cnt, lemma), the counted tokens of each text.
 
     The same as counting the processed texts, without putting the texts
     together: a kept lemma counts for the words it would have in the text.
     """
     usable = F.when(keeps(F.col("token"), F.col("lemma")), F.col("lemma"))
-    rows = lemmatised.select(*key, "field", "pos", usable.alias("lemma"))
+    rows = lemmatised.select(*key, "field", "pos", "cnt", usable.alias("lemma"))
     found = lookup_join(rows, _term_indices(vocabulary), "lemma", "left")
     counting = found.where((F.size("idxs") > 0) | (F.col("pos") == 0))
-    return _sparse_rows(counting.select(*key, "field", F.explode_outer("idxs").alias("idx")), key)
+    return _sparse_rows(counting.select(*key, "field", "cnt", F.explode_outer("idxs").alias("idx")), key)
 
 
 def long_texts(df: DataFrame, key: Sequence[str], fields: Sequence[str]) -> DataFrame:

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from letterloom.functions.tokens import keeps, plural_stem, words
+from letterloom.functions.tokens import counted, keeps, plural_stem, words
 from letterloom.operators.lookup import Lookup, lookup_join
 
 
@@ -17,6 +17,13 @@ def explode_tokens(df: DataFrame, key: Sequence[str], fields: Sequence[str]) ->
     return df.select(*key, F.inline(lists)).select(*key, "field", F.posexplode("list").alias("pos", "token"))
 
 
+def explode_token_counts(df: DataFrame, key: Sequence[str], fields: Sequence[str]) -> DataFrame:
+    """(key, field, pos, token, cnt), one row per distinct token of a text; ``pos`` numbers those."""
+    lists = F.array(*[F.struct(F.lit(f).alias("field"), counted(words(F.col(f))).alias("list")) for f in fields])
+    rows = df.select(*key, F.inline(lists)).select(*key, "field", F.posexplode("list").alias("pos", "entry"))
+    return rows.select(*key, "field", "pos", F.col("entry.word").alias("token"), F.col("entry.cnt").alias("cnt"))
+
+
 def add_lemmas(tokens: DataFrame, lemmas: Lookup) -> DataFrame:
     """Add ``lemma``: the listed one, else the token without its plural ending."""
     listed = lookup_join(tokens, lemmas, "token", "left")

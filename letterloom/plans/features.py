@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from letterloom.operators.bow import lemma_vectors
 from letterloom.operators.lookup import Lookup
 from letterloom.operators.ranking import half_split
-from letterloom.operators.tokens import add_lemmas, explode_tokens
+from letterloom.operators.tokens import add_lemmas, explode_token_counts
 from letterloom.plans.messages import ROW_KEY
 
 FIELDS = ("subject", "body")
@@ -52,7 +52,7 @@ def daily_features(
     else:
         rows = half_split(number_rows(messages, key, fields), "row_key")
     row = ("row_id", key, "split")
-    lemmatised = add_lemmas(explode_tokens(rows, row, fields), lemmas)
+    lemmatised = add_lemmas(explode_token_counts(rows, row, fields), lemmas)
     vectors = lemma_vectors(lemmatised, row, vocabulary)
     return vectors.select(
         "row_id", key, F.lit(day).alias("matrix_date"), "field", "split", "indices", "values"

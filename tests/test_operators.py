@@ -15,7 +15,8 @@ from letterloom.functions.tagging import segments
 from letterloom.operators.bow import bow_counts, bow_vectors
 from letterloom.functions.names import keep_longest, tagged
 from letterloom.operators.entities import FILTER_BITS, find_entities, read_gazetteer, tag_entities
-from letterloom.operators.lookup import Lookup, lookup_join, measure
+from letterloom.functions.tokens import counted
+from letterloom.operators.lookup import Lookup, hot_keys, lookup_join, measure
 from letterloom.operators.ranking import global_rank, half_split
 from letterloom.operators.recipients import explode_recipients
 from letterloom.operators.records import flat_record, render_message, tidy
@@ -39,6 +40,34 @@ def test_large_lookup_equals_broadcast(spark, how):
     assert sorted(map(str, small_plan.collect())) == sorted(map(str, large_plan.collect()))
 
 
+def test_a_frequent_key_is_spread_by_its_share(spark):
+    """One word in 30 % of the rows: no task of the join has more than twice the rows of the median task."""
+    names = ("spark.sql.shuffle.partitions", "spark.sql.adaptive.enabled")
+    kept = {n: spark.conf.get(n) for n in names}
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "16")
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        word = F.when(F.col("id") % 10 < 3, "hot").when(F.col("id") % 97 == 5, None).otherwise(F.concat(F.lit("w"), F.col("id") % 5000))
+        left = spark.range(40_000).select("id", word.alias("k"))
+        table = left.groupBy("k").agg(F.count(F.lit(1)).alias("n")).where("k is not null")
+        lookup = Lookup(table, 0, 1, limit=0)
+        hot = {r["k"]: r["_salts"] for r in hot_keys(left, "k", 16).collect()}
+        assert set(hot) == {"hot"} and 30 <= hot["hot"] <= 50
+        joined = lookup_join(left, lookup, "k", "left")
+        sizes = sorted(r["count"] for r in joined.groupBy(F.spark_partition_id()).count().collect())
+        assert sum(sizes) == 40_000 and len(sizes) == 16 and sizes[-1] <= 2 * sizes[8]
+    finally:
+        for n, v in kept.items():
+            spark.conf.set(n, v)
+
+
+def test_counted(column):
+    lists = [["b", "a", "b", "é", "b"], [], None, ["x"]]
+    assert column(lists, lambda c: F.to_json(counted(c)), "array<string>") == [
+        '[{"word":"a","cnt":1},{"word":"b","cnt":3},{"word":"é","cnt":1}]', "[]", "[]", '[{"word":"x","cnt":1}]'
+    ]
+
+
 def test_global_rank(spark):
     keys = random.Random(2).sample(range(10**6), 5000)
     df = spark.createDataFrame([(k, k % 7) for k in keys], "k long, w long").repartition(6)
@@ -203,9 +232,13 @@ def test_bow(spark, lookups):
 
 
 def test_bow_vectors_shuffle_tokens_once(spark, lookups):
-    texts = spark.createDataFrame([(1, "body", "horse day")], "id int, field string, text string")
-    plan = bow_vectors(texts, ("id",), lookups[1])._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("Exchange hashpartitioning(id#") == 1
+    """Only counted rows of known words move, and one row for each text."""
+    texts = spark.createDataFrame([(1, "body", "horse day unknown " * 500)], "id int, field string, text string")
+    vectors = bow_vectors(texts, ("id",), lookups[1])
+    plan = vectors._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning(id#") == 1 and plan.count("posexplode") == 1
+    assert [r["values"] for r in vectors.collect()] == [[500.0, 500.0]]
+    assert bow_counts(texts, ("id",), lookups[1]).count() == 2
 
 
 def test_daily_features_with_repeated_ids(spark, lookups):
