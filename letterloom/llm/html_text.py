@@ -15,11 +15,12 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 RAW = frozenset("script style textarea title xmp iframe noembed noframes noscript".split())
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q s samp small span strike "
-    "strong sub sup time tt u var ruby rb rt rp rtc img wbr br nobr".split()
+    "strong sub sup time tt u var ruby rb rt rp rtc img wbr br nobr object map "
+    "math mi mn mo ms mtext mrow mfrac msup msub msubsup msqrt mroot mover munder munderover mfenced mstyle semantics".split()
 )
 DROPPED = frozenset(
-    "script style noscript template iframe object embed applet canvas svg math head title nav footer aside form "
-    "button select option textarea input dialog menu noembed noframes xmp audio video map".split()
+    "script style noscript template iframe embed applet canvas svg head title nav footer aside form "
+    "button select option textarea input dialog menu noembed noframes audio video".split()
 )
 CLOSES_P = frozenset(
     "address article aside blockquote center details dialog dir div dl fieldset figcaption figure footer form h1 h2 h3 "
@@ -42,6 +43,8 @@ SIDE_ROLES = frozenset(
 
 TAG = re.compile(r"<(/?)([A-Za-z][^\s/>]*)")
 ATTRIBUTE = re.compile(r"[\s/]*([^\s/>=]+)(?:\s*=\s*(?:\"([^\"]*)\"?|'([^']*)'?|([^\s>]*)))?")
+#: Beside one of these a word of a name tells of something that is not there, or that stands next to the element.
+DENIED = frozenset("no non not without with has free hide hidden".split())
 NAME_PARTS = re.compile(r"[^A-Za-z]+|(?<=[a-z])(?=[A-Z])")
 SPACE = re.compile(r"\s+")
 
@@ -49,27 +52,56 @@ SPACE = re.compile(r"\s+")
 class Element:
     """A node of the page: ``parts`` are its texts and elements in order."""
 
-    __slots__ = ("tag", "side", "parts", "parent", "chars", "link_chars", "tags", "link_tags", "density", "total", "named")
+    __slots__ = (
+        "tag", "side", "parts", "parent", "chars", "link_chars", "tags", "link_tags", "density", "total", "named", "hint",
+        "shown", "holds",
+    )
 
-    def __init__(self, tag: str, side: bool, parent: Element | None):
-        self.tag, self.side, self.parent, self.parts = tag, side, parent, []
+    def __init__(self, tag: str, side: bool, parent: Element | None, hint: int = 0):
+        self.tag, self.side, self.parent, self.parts, self.hint = tag, side, parent, [], hint
+        self.shown, self.holds = 0, False
         self.named = tag in ("article", "main") or (parent is not None and parent.named)
         self.chars = self.link_chars = self.tags = self.link_tags = 0
         self.density = self.total = 0.0
 
 
 def _aside(tag: str, attributes: dict[str, str], inside: set[str]) -> bool:
-    """Whether an element is a menu, notice, advert and so on by its tag, role or names."""
+    """Whether an element is a menu, notice, advert and so on by its tag or role."""
     if tag in DROPPED or "hidden" in attributes or attributes.get("aria-hidden") == "true":
         return True
     if tag == "header" and not inside & {"article", "main"}:
         return True
     if tag in ("html", "body", "article", "main"):
         return False
-    if attributes.get("role", "").lower() in SIDE_ROLES:
-        return True
-    names = f"{attributes.get('class', '')} {attributes.get('id', '')}"
-    return not SIDE_WORDS.isdisjoint(part.lower() for part in NAME_PARTS.split(names) if part)
+    return attributes.get("role", "").lower() in SIDE_ROLES
+
+
+def _hint(attributes: dict[str, str]) -> int:
+    """2 where a whole class or id is a side word, 1 where a part of one is, beside no denial; else 0."""
+    names = f"{attributes.get('class', '')} {attributes.get('id', '')}".split()
+    if any(name.lower() in SIDE_WORDS for name in names):
+        return 2
+    parts = [{part.lower() for part in NAME_PARTS.split(name) if part} for name in names]
+    return int(any(p & SIDE_WORDS and not p & DENIED for p in parts))
+
+
+def judge(root: Element) -> None:
+    """Settles which named elements are aside, from what they hold.
+
+    No element that holds a main element, or an article without such a name itself, is aside by its name.
+    Where only a part of the name tells, an element with half of the page's characters or more is none.
+    """
+    nodes = _in_order(root)
+    for node in reversed(nodes):
+        for part in node.parts:
+            if isinstance(part, str):
+                node.shown += len(SPACE.sub("", part))
+            elif not part.side:
+                node.shown += part.shown
+                node.holds |= part.holds or part.tag == "main" or part.tag == "article" and not part.hint
+    for node in nodes:
+        if node.hint and not node.holds and node.tag not in ("html", "body", "article", "main"):
+            node.side = node.hint == 2 or 2 * node.shown < root.shown
 
 
 def _attributes(source: str, at: int) -> tuple[dict[str, str], int]:
@@ -123,15 +155,19 @@ def parse(source: str) -> Element:
         if tag in ("html", "body"):  # one of each at most; what they hold counts
             if tag == "html" or open_tags.get("body"):
                 continue
-        node = Element(tag, _aside(tag, attributes, {t for t, n in open_tags.items() if n}), here)
+        node = Element(tag, _aside(tag, attributes, {t for t, n in open_tags.items() if n}), here, _hint(attributes))
         here.parts.append(node)
         if tag in RAW:
             lowered = lowered if lowered is not None else _lower_ascii(source)
             close = lowered.find(f"</{tag}", at)
-            at = end if close < 0 else close
+            close = end if close < 0 else close
+            if tag == "xmp":  # shown as it is written
+                node.parts.append(source[at:close].replace("&", "&amp;"))
+            at = close
         elif tag not in VOID:
             here = node
             open_tags[tag] = open_tags.get(tag, 0) + 1
+    judge(root)
     return root
 
 

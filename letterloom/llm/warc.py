@@ -14,13 +14,12 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from letterloom.llm.common import cut, join_groups
+from letterloom.llm.common import cut, join_groups, shuffle_parts
 
 MAGIC = b"\x1f\x8b\x08"
 VERSION = b"WARC/1."
 READ = 1 << 20
-#: A head without its empty line within so many bytes is no head.
-HEAD = 1 << 16
+EMPTY_LINE = b"\r\n\r\n"
 #: A new archive is begun beyond so many bytes.
 ARCHIVE = 32 << 20
 
@@ -158,7 +157,7 @@ def _inflate(window: _Window) -> tuple[bytes, int] | None:
 
 def _head(data: bytes | bytearray) -> tuple[dict[str, str], int] | None:
     """Header fields, names in lower case, and where the block begins."""
-    end = data.find(b"\r\n\r\n", 0, HEAD)
+    end = data.find(EMPTY_LINE)
     if not data.startswith(VERSION) or end < 0:
         return None
     first, *lines = bytes(data[:end]).decode("utf-8", "replace").split("\r\n")
@@ -214,7 +213,11 @@ def _take(window: _Window) -> tuple[dict, int] | None:
         return row and (row, size)
     if not window.data.startswith(VERSION):
         return None
-    window.fill(HEAD)
+    seen = 0
+    while window.data.find(EMPTY_LINE, max(0, seen - 3)) < 0:
+        seen = len(window.data)
+        if not window.fill(seen + 1):
+            break
     head = _head(window.data)
     if head is None:
         return None
@@ -264,29 +267,38 @@ def _gap(path: str, start: int, end: int) -> dict:
     return dict.fromkeys(FIELDS) | {"path": path, "start": start, "end": end, "problem": "no valid record"}
 
 
-def read_archives(archives: DataFrame, path: str = "path") -> DataFrame:
+def read_archives(archives: DataFrame, path: str = "path", records: str | None = None) -> DataFrame:
     """Records and gaps of the archives that ``archives`` lists, gzip members or plain, mixed at will.
 
     One row per record, or per gap of bytes with its ``problem``. Each archive is streamed by one task;
-    rows leave in batches of a few MB. Null paths and an empty list give no rows.
+    rows leave in batches of a few MB. Null paths and an empty list give no rows. With ``records``, the column
+    that says how many records an archive has, a gap or another number of them raises ``ValueError``.
     """
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for name in filter(None, batch.column("path").to_pylist()):
+            for name, expected in zip(batch.column("path").to_pylist(), batch.column("records").to_pylist()):
+                if not name:
+                    continue
                 system, place = _filesystem(name)
-                held, size = [], 0
+                held, size, count = [], 0, 0
                 with system.open_input_stream(place, compression=None) as stream:
                     for row in salvage(stream, name):
+                        if row["problem"] and expected is not None:
+                            raise ValueError(f"{name}: {row['problem']} from byte {row['start']} to {row['end']}")
+                        count += 1
                         held.append(row)
                         size += len(row["payload"] or b"") + 500
                         if size >= 4 << 20:
                             yield pa.RecordBatch.from_pylist(held, schema=ARROW)
                             held, size = [], 0
+                if expected is not None and count != expected:
+                    raise ValueError(f"{name}: {count} records instead of {expected}")
                 if held:
                     yield pa.RecordBatch.from_pylist(held, schema=ARROW)
 
-    return archives.select(F.col(path).alias("path")).mapInArrow(read, RECORDS)
+    known = F.col(records) if records else F.lit(None)
+    return archives.select(F.col(path).alias("path"), known.cast("long").alias("records")).mapInArrow(read, RECORDS)
 
 
 def list_archives(spark: SparkSession, folder: str) -> DataFrame:
@@ -299,13 +311,15 @@ def page_records(pages: DataFrame, folder: str, key: str = "page_id", url: str =
     """Writes the pages to archives in ``folder`` and reads them back; one row per page.
 
     (key, payload_bytes, payload_digest, record_type, refers_to). Rows that repeat a key are written
-    each; null pages and urls are empty; an empty table writes nothing and gives no rows.
+    each; null pages and urls are empty, urls of any length are kept; an empty table writes nothing and gives
+    no rows. An archive that does not give back every record written to it raises.
     """
     kind = pages.schema[key].dataType
     written = cut(write_archives(pages, folder, key, url, body))
-    parts = max(1, written.count())
-    records = read_archives(written.repartition(parts, "path"))
-    return records.where("problem is null").select(
+    # a task for each archive while they are few, and a bounded number of tasks
+    parts = min(max(1, written.count()), 32 * shuffle_parts(pages.sparkSession))
+    records = read_archives(written.repartition(parts, "path"), records="records")
+    return records.select(
         F.when(F.col("record_id") != "None", F.col("record_id")).cast(kind).alias(key),
         "payload_bytes",
         "payload_digest",

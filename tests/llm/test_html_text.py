@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import math
+import random
 import time
 
 import pytest
@@ -79,3 +81,69 @@ def test_one_wrapper_with_unnamed_side_blocks():
     assert main_text(page) == want
     assert main_text(page.replace("<body>", "<body>stray ")) == f"stray\n\n{want}"
     assert main_text(page.replace("<div>", "<main>", 1).replace("</div></body>", "</main></body>")) == want
+
+
+WRAPPERS = [
+    '<div class="page with-sidebar">{}</div>', '<div class="layout sidebar-right">{}</div>', '<div class="post no-comments">{}</div>',
+    '<div class="article-body ad-free">{}</div>', '<section id="hide-banner">{}</section>', '<div class="widget"><main>{}</main></div>',
+    '<div class="has-menu"><div class="content menu-open">{}</div></div>',
+]
+
+
+@pytest.mark.parametrize("wrapper", WRAPPERS)
+@pytest.mark.parametrize("inner", ["<article>{}</article>", "<div>{}</div>"])
+def test_names_of_wrappers_lose_no_article(wrapper, inner):
+    side = '<div class="sidebar"><p>Other things to read here today</p></div><div class="comment-list"><p>A reader says so</p></div>'
+    page = "<body>" + wrapper.format(inner.format(STORY) + side) + "</body>"
+    assert main_text(page) == PLAIN
+
+
+def test_comments_in_articles_of_their_own_are_no_article():
+    comments = '<section class="comments">' + '<article class="comment"><p>I think otherwise, and at some length too.</p></article>' * 3 + "</section>"
+    assert main_text(f"<body><main><article>{STORY}{comments}</article></main></body>") == PLAIN
+    assert main_text(f"<body><article>{STORY}</article>{comments}</body>") == PLAIN
+
+
+def test_texts_of_formulas_objects_and_samples_stay():
+    page = "<article><p>Energy is <math><mi>E</mi></math> here.</p><object>no player</object><map><p>in a map</p></map><xmp>a < b</xmp></article>"
+    text = main_text(f"<body>{page}</body>")
+    for part in ("Energy is E here.", "no player", "in a map", "a < b"):
+        assert part in text
+
+
+def by_definition(node):
+    """(chars, linked chars, tags, link tags) of a node, counted anew by walking all below it."""
+    chars = linked = tags = links = 0
+    stack = [(node, node.tag == "a")]
+    while stack:
+        item, in_link = stack.pop()
+        for part in item.parts:
+            if isinstance(part, str):
+                size = len("".join(part.split()))
+                chars, linked = chars + size, linked + size * in_link
+            elif not part.side:
+                tags, links = tags + 1, links + (part.tag == "a")
+                stack.append((part, in_link or part.tag == "a"))
+    return chars, linked, tags, links
+
+
+@pytest.mark.parametrize("seed", range(5))
+def test_densities_by_definition(seed):
+    rng = random.Random(seed)
+    page = "".join(rng.choice(["<div>", "</div>", "<p>", "<a>", "</a>", "<b>", "</b>", "words of text ", "<br>", '<i class="ad">x</i>']) for _ in range(300))
+    root = parse(f"<body>{page}</body>")
+    nodes = measure(root)
+    whole_chars, whole_linked, *_ = by_definition(root)
+
+    def density(node):
+        c, lc, t, lt = by_definition(node)
+        if not c:
+            return 0.0
+        t, lt = max(1, t), max(1, lt)
+        base = math.log(c / max(1, c - lc) * lc + whole_linked / max(1, whole_chars) * c + math.e)
+        return c / t * max(0.0, math.log(c / max(1, lc) * t / lt)) / base
+
+    for node in nodes:
+        assert node.density == pytest.approx(density(node))
+        below = sum(density(p) for p in node.parts if not isinstance(p, str) and not p.side)
+        assert node.total == pytest.approx(below or density(node))

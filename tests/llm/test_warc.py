@@ -88,3 +88,35 @@ def test_only_garbage(monkeypatch):
     assert list(salvage(io.BytesIO(b""), "p")) == []
     (gap,) = salvage(io.BytesIO(b"WARC/1.0\r\nContent-Length: 99999999999\r\n\r\nx" + b"z" * 5000), "p")
     assert (gap["start"], gap["problem"]) == (0, "no valid record")
+
+
+@pytest.mark.parametrize("plain", [False, True])
+@pytest.mark.parametrize("size", [70_000, 5_000_000])
+def test_a_long_url_is_kept(plain, size):
+    url = "http://long/" + "x y" * (size // 3)
+    whole = record("response", "1", url, b"payload", "", 7, None).replace(b"sha256:\r\n", b"sha256:" + hashlib.sha256(b"payload").hexdigest().encode() + b"\r\n")
+    rows = list(salvage(io.BytesIO((whole if plain else _member(whole)) * 2), "p"))
+    assert [(r["problem"], r["record_id"], r["payload"]) for r in rows] == [(None, "1", b"payload")] * 2
+    assert rows[0]["target"] == url.replace(" ", "%20")
+
+
+def test_pages_with_long_urls_come_back(spark, tmp_path):
+    rows = [(1, "http://a/" + "u" * 70_000, "<p>one</p>" * 30), (2, "http://b/" + "é " * 2_500_000, "<p>two</p>" * 30), (3, None, None)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = sorted((r["page_id"], r["payload_bytes"]) for r in page_records(pages, str(tmp_path / "w")).collect())
+    assert got == [(1, 300), (2, 300), (3, 0)]
+
+
+def test_a_damaged_archive_raises(spark, tmp_path):
+    pages = spark.createDataFrame([(k, "u", f"<p>{k}</p>" * 50) for k in range(5)], "page_id long, url string, html string").repartition(1)
+    listed = write_archives(pages, str(tmp_path / "w")).collect()
+    (name, count) = next((r["path"], r["records"]) for r in listed if r["records"])
+    archives = spark.createDataFrame([(name, count), (None, 3)], "path string, records long")
+    assert read_archives(archives, records="records").count() == count
+    place = name.removeprefix("file:")
+    data = open(place, "rb").read()
+    for hurt in (data[:-30], data[: len(data) // 2] + b"\0" * 40 + data[len(data) // 2 + 40 :]):
+        open(place, "wb").write(hurt)
+        assert read_archives(archives).where("problem is not null").count() > 0
+        with pytest.raises(Exception, match="no valid record|records instead of"):
+            read_archives(archives, records="records").collect()
