@@ -17,7 +17,8 @@ from letterloom.functions.names import keep_longest, tagged
 from letterloom.operators.entities import FILTER_BITS, find_entities, read_gazetteer, tag_entities
 from letterloom.functions.tokens import counted
 from letterloom.operators.lookup import Lookup, hot_keys, lookup_join, measure
-from letterloom.operators.ranking import global_rank, half_split
+from letterloom.operators import ranking
+from letterloom.operators.ranking import global_rank, half_split, last_of_first_half
 from letterloom.operators.recipients import explode_recipients
 from letterloom.operators.records import flat_record, render_message, tidy
 from letterloom.operators.tokens import add_lemmas, explode_tokens, filter_tokens, processed_text
@@ -87,6 +88,37 @@ def test_half_split(spark, n):
     assert [s for _, s in split] == ["train"] * (n // 2) + ["test"] * (n - n // 2)
 
 
+@pytest.mark.parametrize("kind", ["even", "hot", "few", "nulls", "words"])
+def test_half_split_by_bounds(spark, monkeypatch, kind):
+    """Selection in many rounds gives the key that sorting all rows would."""
+    monkeypatch.setattr(ranking, "FEW", 5)
+    monkeypatch.setattr(ranking, "BOUNDS", 4)
+    monkeypatch.setattr(ranking, "SAMPLE", 16)
+    rng = random.Random(kind)
+    keys = {
+        "even": rng.sample(range(10**9), 3001),
+        "hot": [rng.randrange(50) if rng.random() < 0.4 else 25 for _ in range(2000)],
+        "few": [rng.choice([1, 2, 3]) for _ in range(1000)],
+        "nulls": [None if rng.random() < 0.3 else rng.randrange(10**6) for _ in range(1000)],
+        "words": ["".join(rng.choices("abé🙂z", k=rng.randint(0, 5))) for _ in range(1500)],
+    }[kind]
+    df = spark.createDataFrame([(k,) for k in keys], "key string" if kind == "words" else "key long").repartition(3)
+    upto, want = sum(k is None for k in keys), None
+    for k in sorted({k for k in keys if k is not None}):
+        upto += keys.count(k) if kind != "even" else 1
+        if upto <= len(keys) // 2:
+            want = k
+    assert last_of_first_half(df) == (want is not None, want)
+
+
+def test_half_split_keeps_no_copy_of_all_keys(spark, tmp_path):
+    """Keys between two bounds alone are ranked."""
+    keys = spark.range(400_000).select(F.xxhash64("id").alias("k"))
+    split = half_split(keys, "k")
+    assert "checkpoint" not in split._jdf.queryExecution().toString().lower() and "Exchange" not in split._jdf.queryExecution().executedPlan().toString()
+    assert {r["split"]: r["count"] for r in split.groupBy("split").count().collect()} == {"train": 200_000, "test": 200_000}
+
+
 def test_half_split_keeps_hot_key_whole(spark):
     rows = [("a",)] * 10 + [("hot",)] * 60 + [("z",)] * 30
     out = half_split(spark.createDataFrame(rows, "k string"), "k").groupBy("k", "split").count().collect()
