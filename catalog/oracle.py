@@ -435,3 +435,5 @@ select term, row_number() over (order by term) - 1 as idx from cleaned where ter
     "order_rank": "select o_orderkey, row_number() over (order by o_orderkey) as rank, count(*) over () as orders from orders",
     "split_halves": f"select doc_id, {HALVES} as split from documents",
 }
+
+ORACLE["stream_restart"] = ORACLE["stream_outcomes"]

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -38,7 +39,7 @@ from letterloom.schemas import MESSAGE_COLUMNS
 from letterloom.session import apply_runtime_conf, work_path
 from letterloom.sources.readers import read_day, read_mail_dir, read_messages, read_vocabulary
 from letterloom.sources.writers import write_features, write_messages
-from letterloom.streaming.ingest import ingest_stream, write_outcome_stream
+from letterloom.streaming.ingest import ingest_stream, tagged_batch_writer, write_outcome_stream
 
 from catalog.mail import as_kafka_rows, mail_documents, mail_raw, read_documents
 from catalog.tables import (
@@ -89,9 +90,9 @@ def _texts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _document_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The table as a stream, be it one file or a folder of files."""
-    path = f"{sf_dir}/documents.parquet"
-    return as_kafka_rows(spark.readStream.schema(spark.read.parquet(path).schema).parquet(path))
+    """The table as a stream, be it one file or a folder of files: only as a pattern may the path be either."""
+    schema = spark.read.parquet(f"{sf_dir}/documents.parquet").schema
+    return as_kafka_rows(spark.readStream.schema(schema).parquet(f"{sf_dir}/documents.parque[t]"))
 
 
 # sources and sinks
@@ -114,6 +115,34 @@ def stream_outcomes(spark, sf_dir):
     return table.select(F.col("offset").alias("doc_id"), "outcome", "reason", F.length("body").cast("long").alias("n"))
 
 
+@query
+def stream_restart(spark, sf_dir):
+    """A stream that breaks off between the rejects and the accepted rows of a batch, and is started again."""
+    path = work_path(spark, "restart")
+
+    def stop(batch_id: int) -> None:
+        raise InterruptedError(f"after the rejects of batch {batch_id}")
+
+    for rejected in (stop, lambda batch_id: None):
+        writer = tagged_batch_writer(f"{path}/accepted", MailOptions(), None, f"{path}/rejects", rejected)
+        stream = _document_stream(spark, sf_dir).writeStream.option("checkpointLocation", f"{path}/checkpoint")
+        job = stream.foreachBatch(writer).trigger(availableNow=True).start()
+        try:
+            job.awaitTermination()
+        except StreamingQueryException as broken:
+            if "after the rejects" not in str(broken):
+                raise
+    accepted, rejects = (spark.read.parquet(f"{path}/{name}") for name in ("accepted", "rejects"))
+    return accepted.select(
+        F.col("offset").alias("doc_id"),
+        F.lit("accepted").alias("outcome"),
+        F.lit(None).cast("string").alias("reason"),
+        F.length("body").cast("long").alias("n"),
+    ).unionByName(
+        rejects.select(F.col("offset").alias("doc_id"), F.lit("rejected").alias("outcome"), "reason", F.lit(None).cast("long").alias("n"))
+    )
+
+
 @query
 def dir_ingest(spark, sf_dir):
     """Every message as a file of its own, read back from the folder tree."""

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from letterloom.session import ensure_checkpoint_dir
+from letterloom.session import ensure_checkpoint_dir, forget
 
 _ROW_BITS = 33
 #: Bounds between which rows are counted in a round, about, and keys that they are taken from.
@@ -26,6 +26,11 @@ def global_rank(
     elsewhere. The offsets are one row per partition. With ``weight`` the rank
     is the running sum of that column; ``total`` adds the sum over all rows.
     """
+    return _ranked(_numbered(df, key, weight), rank, total)
+
+
+def _numbered(df: DataFrame, key: str, weight: str | None) -> DataFrame:
+    """The rows with their range and their place in it, checkpointed."""
     ensure_checkpoint_dir(df.sparkSession)
     spot = F.monotonically_increasing_id()
     numbered = (
@@ -39,7 +44,10 @@ def global_rank(
     if weight is not None:
         in_part = Window.partitionBy("_part").orderBy("_local")
         numbered = numbered.withColumn("_local", F.sum(weight).over(in_part))
-    numbered = numbered.checkpoint()
+    return numbered.checkpoint()
+
+
+def _ranked(numbered: DataFrame, rank: str, total: str | None = None) -> DataFrame:
     sizes = numbered.groupBy("_part").agg(F.max("_local").alias("_size"))
     over_parts = Window.orderBy("_part")
     offsets = sizes.select(
@@ -99,8 +107,9 @@ def last_of_first_half(keys: DataFrame) -> tuple[bool, object]:
         if not shrunk:
             break
     counts = within.groupBy("key").agg(F.count(F.lit(1)).alias("_n"))
-    ranked = global_rank(counts, "key", rank="_upto", weight="_n")
-    inner = ranked.where(F.col("_upto") <= half - before).agg(F.max("key")).first()[0]
+    numbered = _numbered(counts, "key", "_n")
+    inner = _ranked(numbered, "_upto").where(F.col("_upto") <= half - before).agg(F.max("key")).first()[0]
+    forget(numbered)
     last = last if inner is None else inner
     return last is not None, last
 

@@ -95,13 +95,14 @@ def _extract(raw: DataFrame, options: MailOptions) -> DataFrame:
     )
 
 
-def _tag(df: DataFrame, options: MailOptions, gazetteer: Gazetteer | None) -> DataFrame:
+def _tag(df: DataFrame, options: MailOptions, gazetteer: Gazetteer | None, stored: list[DataFrame]) -> DataFrame:
     """Entities, then patterns, then surrogates, in subject and body."""
     if gazetteer is not None:
         if not gazetteer.in_row:
             # The frame is read several times below; the parser should run once.
             ensure_checkpoint_dir(df.sparkSession)
             df = df.checkpoint()
+            stored.append(df)
         df = tag_entities(df, ROW_KEY, ("subject", "body"), gazetteer)
     for name in ("subject", "body"):
         text = tag_patterns(F.col(name), options.number_words)
@@ -113,21 +114,25 @@ def _tag(df: DataFrame, options: MailOptions, gazetteer: Gazetteer | None) -> Da
 
 
 def classify_messages(
-    raw: DataFrame, options: MailOptions = MailOptions(), gazetteer: Gazetteer | None = None
+    raw: DataFrame,
+    options: MailOptions = MailOptions(),
+    gazetteer: Gazetteer | None = None,
+    stored: list[DataFrame] | None = None,
 ) -> DataFrame:
     """Every raw row with its message columns, ``processed_date`` and ``reason``.
 
     ``reason`` is null for an accepted message; the message columns of a
     rejected one are null. The input has the Kafka row columns; others pass
     through, and ``value`` is dropped once it is read. Batch and streaming use this same function; a gazetteer beyond
-    its limit needs a batch frame, so a stream passes one inside ``foreachBatch``.
+    its limit needs a batch frame, so a stream passes one inside ``foreachBatch``; the checkpoint that it is tagged
+    from is added to ``stored``, to be removed when the outcomes are written.
 
     The closing ``stage`` counts the outcomes at no extra pass and keeps later
     filters on ``reason`` from evaluating the cleaning expressions again.
     """
     df = _extract(raw, options)
     if options.tag_content:
-        df = _tag(df, options, gazetteer)
+        df = _tag(df, options, gazetteer, [] if stored is None else stored)
     final = F.coalesce(length_between(F.col("body"), options.final_gate), F.lit(False))
     df = df.withColumn("reason", F.coalesce(F.col("reason"), F.when(~final, "length_final")))
     accepted = F.col("reason").isNull()

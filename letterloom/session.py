@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -32,7 +33,7 @@ def shared_dir(spark: SparkSession) -> str:
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root:
         return root
-    if not spark.sparkContext.master.startswith("local"):
+    if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
         raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
     root = tempfile.mkdtemp(prefix="letterloom-")
     spark.conf.set("spark.checkpoint.dir", root)
@@ -50,6 +51,15 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
         spark.sparkContext.setCheckpointDir(shared_dir(spark))
 
 
+def forget(frame: DataFrame) -> None:
+    """Remove the files of a checkpointed frame; neither it nor what is made from it can be read afterwards."""
+    saved = frame._jdf.queryExecution().analyzed().rdd().getCheckpointFile()
+    if saved.isDefined():
+        context = frame.sparkSession.sparkContext
+        path = context._jvm.org.apache.hadoop.fs.Path(saved.get())
+        path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def stage(df: DataFrame, label: str, *counts: Column) -> DataFrame:
     """Count rows as they pass, and keep later filters above this point.
 

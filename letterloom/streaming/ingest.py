@@ -15,6 +15,7 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 from letterloom.operators.entities import Gazetteer
 from letterloom.options import MailOptions
 from letterloom.plans.messages import ROW_KEY, accepted_messages, classify_messages, rejected_messages
+from letterloom.session import forget
 
 # Fixed value: how often the sink commits.
 TRIGGER = "6 minutes"
@@ -103,8 +104,14 @@ def ingest_stream_in_batches(
 
 
 def tagged_batch_writer(
-    path: str, options: MailOptions, gazetteer: Gazetteer | None, rejects: str | None = None
+    path: str,
+    options: MailOptions,
+    gazetteer: Gazetteer | None,
+    rejects: str | None = None,
+    rejected: Callable[[int], None] = lambda batch_id: None,
 ) -> Callable[[DataFrame, int], None]:
+    """What writes a micro-batch; ``rejected`` is called once its rejects are written and before the others are."""
+
     def put(rows: DataFrame, batch_id: int, folder: str) -> None:
         (
             rows.withColumn("batch_id", F.lit(batch_id).cast("long"))
@@ -115,11 +122,15 @@ def tagged_batch_writer(
         )
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        outcomes = classify_messages(batch, options, gazetteer)
+        stored: list[DataFrame] = []
+        outcomes = classify_messages(batch, options, gazetteer, stored)
         if rejects:
             outcomes = outcomes.persist()  # both writes read it; a part that is lost is made again
             put(rejected_messages(outcomes), batch_id, rejects)
+            rejected(batch_id)
         put(accepted_messages(outcomes, options.null_rows, ROW_KEY), batch_id, path)
         outcomes.unpersist()
+        for frame in stored:
+            forget(frame)
 
     return write

@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 import hashlib
 import re
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -17,6 +18,7 @@ from letterloom.options import MailOptions
 from letterloom.plans.corpus import run_corpus
 from letterloom.plans.messages import ROW_KEY, accepted_messages, classify_messages, rejected_messages
 from letterloom.schemas import MESSAGE_COLUMNS
+from letterloom.session import ensure_checkpoint_dir
 from letterloom.sources.readers import (
     read_day,
     read_file_stream,
@@ -134,6 +136,42 @@ def plan(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
+def test_a_stream_leaves_no_checkpoints(spark, raw, tmp_path):
+    """Three batches with names beyond the limit: the same rows as in one batch, and no file of the frames between."""
+    names = spark.createDataFrame([("lazy dog", "NORP")], "surface string, label string")
+    options, path = MailOptions(tag_content=True), str(tmp_path / "t")
+    large, small = read_gazetteer(names, 0), read_gazetteer(names)
+    ensure_checkpoint_dir(spark)
+    folder = Path(spark.sparkContext.getCheckpointDir().removeprefix("file:"))
+    before = set(folder.iterdir())
+    write = tagged_batch_writer(path, options, large)
+    for batch in range(3):
+        write(raw.where(F.col("offset") % 3 == batch), batch)
+    assert set(folder.iterdir()) == before
+    want = accepted_messages(classify_messages(raw, options, small), keep=ROW_KEY)
+    got = spark.read.parquet(path).select(*want.columns)
+    assert key(got.collect()) == key(want.collect()) and got.where("body like '%NORP%'").count() > 0
+
+
+def test_a_broken_batch_is_written_once(spark, raw, tmp_path):
+    """What is written before a failure is replaced when the batch runs again."""
+    calls = []
+
+    def broken(batch_id):
+        calls.append(batch_id)
+        if len(calls) == 1:
+            raise InterruptedError
+
+    write = tagged_batch_writer(str(tmp_path / "a"), MailOptions(), None, str(tmp_path / "r"), broken)
+    with pytest.raises(InterruptedError):
+        write(raw, 0)
+    assert not (tmp_path / "a").exists()
+    write(raw, 0)
+    outcomes = classify_messages(raw)
+    assert spark.read.parquet(str(tmp_path / "r")).count() == rejected_messages(outcomes).count() > 0
+    assert spark.read.parquet(str(tmp_path / "a")).count() == accepted_messages(outcomes).count() > 0
+
+
 def test_message_plan_shape(raw, spark, tmp_path):
     """One Python step, no shuffle, and filters that repeat none of it."""
     path = str(tmp_path / "raw")
