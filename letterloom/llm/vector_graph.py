@@ -10,6 +10,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from letterloom.llm.common import cut, join_groups
 from letterloom.llm.components import components
@@ -24,7 +25,7 @@ class GraphOptions:
     ``largest`` vectors is split into chunks and each two chunks make a shard, so all its pairs stay.
     ``near``, ``degree``, ``far``, ``width`` and ``stretch``: candidates, kept edges, random edges, the most
     edges after reverse ones and other shards' are added, and the factor of the pruning rule. ``beam``: of the greedy search. ``slack``: range expansion passes through vectors
-    that are this much less similar than a link.
+    that are this much less similar than a link. ``audited``: vectors of each stratum that the audit asks for.
     """
 
     similarity: float = 0.9
@@ -40,7 +41,7 @@ class GraphOptions:
     stretch: float = 1.2
     beam: int = 16
     slack: float = 0.05
-    audited: int = 256
+    audited: int = 64
     least_recall: float = 0.97
 
 
@@ -324,30 +325,56 @@ def graph_links(assigned: DataFrame, options: GraphOptions) -> DataFrame:
     return met.groupBy("shard").applyInPandas(search, "a long, b long, n long")
 
 
-def audit_recall(vectors: DataFrame, counted: DataFrame, options: GraphOptions) -> float:
-    """Links found against all links, for a bounded sample of vectors compared with every row.
+def _audit_sample(assigned: DataFrame, counted: DataFrame, options: GraphOptions, each: int) -> pd.DataFrame:
+    """(id, v, n, large, weight): of each stratum the ``each`` vectors with the smallest hashes.
 
-    ``vectors`` (id, v, copies), ``counted`` (id, n). The sample is the ``audited`` ids with the smallest
-    hashes; its vectors are broadcast, all others pass by in blocks.
+    The strata: vectors without found links, with one or two, with more; each in large clusters and outside.
+    ``weight`` is the number of the stratum's vectors that a sampled one stands for.
     """
-    asked = vectors.orderBy(F.xxhash64("id")).limit(options.audited).select("id", "v").toPandas()
+    first = F.get("clusters", F.lit(0))
+    sizes = assigned.groupBy(first.alias("cluster")).agg((F.count(F.lit(1)) > options.largest).alias("large"))
+    rows = assigned.select("id", first.alias("cluster")).join(F.broadcast(sizes), "cluster").join(counted, "id", "left")
+    links = F.when(F.col("n").isNull(), 0).when(F.col("n") <= 2, 1).otherwise(2)
+    rows = rows.select("id", F.coalesce("n", F.lit(0)).alias("n"), "large", links.alias("links"))
+    stratum = ["large", "links"]
+    place = F.row_number().over(Window.partitionBy(*stratum).orderBy(F.xxhash64("id"), "id"))
+    picked = rows.withColumn("place", place).where(F.col("place") <= each)
+    picked = picked.join(F.broadcast(rows.groupBy(*stratum).count()), stratum)
+    weight = F.col("count") / F.least(F.col("count"), F.lit(each))
+    return assigned.select("id", "v").join(F.broadcast(picked.select("id", "n", "large", weight.alias("weight"))), "id").toPandas()
+
+
+def audit_recall(assigned: DataFrame, counted: DataFrame, options: GraphOptions, each: int) -> float | None:
+    """The mean recall of a vector's links, the lower of those in large clusters and outside; None if unmeasured.
+
+    ``assigned`` (id, v, copies, clusters), ``counted`` (id, n). Each linked vector weighs the same, whatever
+    its number of links. The sampled vectors, 6 ``each`` at most, are broadcast; all rows pass by in blocks.
+    A sample without a true link measures nothing.
+    """
+    asked = _audit_sample(assigned, counted, options, each)
     if asked.empty:
-        return 1.0
+        return None
     names = asked["id"].to_numpy()
-    held = vectors.sparkSession.sparkContext.broadcast(np.stack(asked["v"].to_list()))
+    held = assigned.sparkSession.sparkContext.broadcast(np.stack(asked["v"].to_list()))
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         total = np.zeros(len(names), np.int64)
         for batch in batches:
             if len(batch):
-                linked = np.stack(batch["v"].to_list()) @ held.value.T >= options.similarity
-                linked &= batch["id"].to_numpy()[:, None] != names[None, :]
-                total += batch["copies"].to_numpy() @ linked
-        yield pd.DataFrame({"id": names, "n": total})
-
-    true = vectors.mapInPandas(count, "id long, n long").groupBy("id").agg(F.sum("n").alias("true"))
-    both = true.join(counted, "id", "left").agg(F.sum("true"), F.sum(F.least("true", F.coalesce("n", F.lit(0))))).first()
-    return both[1] / both[0] if both[0] else 1.0
+                x, ids, copies = np.stack(batch["v"].to_list()), batch["id"].to_numpy(), batch["copies"].to_numpy()
+                for at in range(0, len(names), 256):
+                    part = slice(at, at + 256)
+                    linked = x @ held.value[part].T >= options.similarity
+                    linked &= ids[:, None] != names[None, part]
+                    total[part] += copies @ linked
+        yield pd.DataFrame({"id": names, "true": total})
+
+    true = assigned.select("id", "v", "copies").mapInPandas(count, "id long, true long")
+    both = asked.drop(columns="v").merge(true.groupBy("id").agg(F.sum("true").alias("true")).toPandas(), on="id")
+    both = both[both["true"] > 0]
+    both["found"] = both["weight"] * np.minimum(both["n"], both["true"]) / both["true"]
+    sums = both.groupby("large")[["found", "weight"]].sum()
+    return float((sums["found"] / sums["weight"]).min()) if len(sums) else None
 
 
 def linked_vectors(
@@ -357,13 +384,14 @@ def linked_vectors(
 
     Vectors are linked from the given cosine on, computed in double precision. Null and zero vectors and
     those with null or non-finite parts link with nothing; shorter vectors count as ending in zeros.
-    Equal vectors are searched once and count once each; of rows with equal vectors the smallest key
-    stands for all, so it has to name one vector. Rows with a null key link like others where another
-    row has their vector and alone link with nothing. An empty table gives no rows; further columns
-    are not read.
-
-    The recall is audited against brute force on a bounded sample; below ``least_recall`` the graph is
-    built again with a vector in more shards, and in the end a recall below 0.9 is an error.
+    Equal vectors are searched once and count once each. A key that repeats with other vectors names each
+    of them: every row has the links of its own vector. Rows with a null key link like others where
+    another row has their vector and alone link with nothing. An empty table gives no rows; further
+    columns are not read.
+
+    The recall is audited against brute force on a bounded sample drawn by strata, a wider one where the
+    first holds no link; below ``least_recall`` the graph is built again with a vector in more shards, and
+    in the end a recall below 0.9 is an error.
     """
     named = vectors.select(F.col(key).cast("long").alias("id"), F.col(embedding).alias("v"))
     print_ = F.concat_ws(":", F.xxhash64("v").cast("string"), F.hash("v").cast("string"))
@@ -372,26 +400,34 @@ def linked_vectors(
     distinct = prints.where("h is not null").groupBy("h").agg(
         F.min("id").alias("id"), F.count(F.lit(1)).alias("copies"), F.first("v").alias("v")
     )
-    units = cut(unit_vectors(distinct, max(1, width or 1)).where("v is not null"))
-    searched = units.where("id is not null")
+    # a node for each distinct vector, numbered alike when a task is repeated
+    nodes = distinct.sortWithinPartitions("h").withColumn("node", F.monotonically_increasing_id())
+    units = cut(unit_vectors(nodes, max(1, width or 1)).where("v is not null"))
+    searched = units.where("id is not null").select(F.col("node").alias("id"), "h", "v", "copies")
     count = searched.count()
     centroid_count = min(options.most_centroids, math.ceil(count / options.shard_rows))
-    sample = searched.orderBy(F.xxhash64("id")).limit(options.sample).select("v").toPandas()["v"].to_list()
-    links, counted = None, None
     if count:
+        sample = searched.orderBy("h").limit(options.sample).select("v").toPandas()["v"].to_list()
         centroids = fit_centroids(np.stack(sample), centroid_count)
         for widened in (0, 2, 5):
             assigned = cut(assign_shards(searched, centroids, options.overlap + widened))
             links = cut(graph_links(assigned, options))
             counted = links.where("b is null").groupBy(F.col("a").alias("id")).agg(F.sum("n").alias("n"))
-            recall = audit_recall(searched, counted, options)
-            if recall >= options.least_recall or options.overlap + widened >= len(centroids):
+            for each in (options.audited, 8 * options.audited):
+                recall = audit_recall(assigned, counted, options, each)
+                if recall is not None:
+                    break
+            if recall is None or recall >= options.least_recall or options.overlap + widened >= len(centroids):
                 break
-        if recall < 0.9:
+        if recall is not None and recall < 0.9:
             raise ValueError(f"the search finds {recall:.3f} of the links")
         reached = components(links.where("b is not null").select("a", "b"))
-        groups = units.select("h", "id", "copies").join(counted, "id", "left")
-        groups = groups.join(reached.withColumnRenamed("node", "id"), "id", "left")
+        groups = units.select("h", "id", "copies", "node").join(counted.withColumnRenamed("id", "node"), "node", "left")
+        groups = cut(groups.join(reached.withColumnRenamed("component", "root"), "node", "left"))
+        roots = groups.where("root is not null").groupBy("root").agg(
+            F.min("id").alias("component"), F.count(F.lit(1)).alias("members")
+        )
+        groups = join_groups(groups, roots, "root", "members", "node", count)
     else:
         groups = units.select("h", "id", "copies", F.lit(None).cast("long").alias("n"), F.lit(None).cast("long").alias("component"))
     groups = groups.select(

@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 
 from letterloom.llm.common import table
-from letterloom.llm.vector_graph import GraphOptions, linked_vectors
+from letterloom.llm.vector_graph import GraphOptions, audit_recall, linked_vectors
 
 
 def brute(rows):
@@ -70,3 +70,42 @@ def test_no_rows_and_null_keys(spark):
     rows = [(None, [1.0, 0.0]), (4, [1.0, 0.0]), (4, [1.0, 0.0]), (None, [0.0, 1.0]), (None, None)]
     got = sorted(map(tuple, linked_vectors(spark.createDataFrame(rows, schema)).collect()), key=repr)
     assert got == sorted([(None, 2, 4, False), (4, 2, 4, True), (4, 2, 4, True), (None, 0, None, True), (None, 0, None, True)], key=repr)
+
+
+def test_a_key_with_several_vectors(spark):
+    rows = [(1, [1.0, 0.0]), (1, [0.0, 1.0]), (2, [1.0, 0.01]), (3, [0.0, 2.0]), (3, [-1.0, 0.0]), (3, [-1.0, 0.0])]
+    got = sorted(map(tuple, linked_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<float>")).collect()))
+    pair = [(1, 1, 1, True), (1, 1, 1, True), (2, 1, 1, False), (3, 1, 1, False)]
+    assert got == sorted([*pair, (3, 1, 3, True), (3, 1, 3, True)])
+
+
+def test_planted_pairs_and_groups(spark):
+    """Pairs, triples and one group that holds a third of the rows, all within the link range."""
+    rng = np.random.default_rng(11)
+    lone = rng.normal(size=(1200, 64))
+    near = [lone[k] + rng.normal(size=64) * 0.15 for k in range(300) for _ in range(1 + k % 2)]
+    heavy = rng.normal(size=64) + rng.normal(size=(800, 64)) * 0.05
+    rows = [(k, v.astype(np.float32).tolist()) for k, v in enumerate([*lone, *near, *heavy])]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<float>").repartition(3)
+    got = {r[0]: tuple(r[1:]) for r in linked_vectors(frame, options=GraphOptions(shard_rows=300, largest=500)).collect()}
+    want = brute(rows)
+    few = [k for k in want if 1 <= want[k][0] <= 2]
+    assert len(few) > 600 and sum(got[k] == want[k] for k in few) > 0.97 * len(few)
+    assert sum(got[k] == want[k] for k in want) > 0.97 * len(want)
+
+
+def test_the_audit_sees_small_groups(spark):
+    """Pairs that all were missed count, beside a large group whose links all were found."""
+    heavy, lone = np.eye(64)[0], np.eye(64)[1:41]
+    rows = [(k, heavy.tolist(), 1, [0]) for k in range(400)]
+    rows += [(1000 + k, lone[k // 2].tolist(), 1, [1]) for k in range(80)]
+    assigned = spark.createDataFrame(rows, "id long, v array<double>, copies long, clusters array<int>")
+    found = spark.createDataFrame([(k, 399) for k in range(400)], "id long, n long")
+    every = spark.createDataFrame([(r[0], 399 if r[0] < 400 else 1) for r in rows], "id long, n long")
+    for largest in (100, 10_000):
+        options = GraphOptions(largest=largest)
+        assert audit_recall(assigned, every, options, 16) == 1.0
+        got = audit_recall(assigned, found, options, 16)
+        assert got == 0.0 if largest == 100 else abs(got - 400 / 480) < 0.01
+    alone = spark.createDataFrame([(k, np.eye(64)[k].tolist(), 1, [0]) for k in range(20)], assigned.schema)
+    assert audit_recall(alone, found.where("n < 0"), GraphOptions(), 16) is None
