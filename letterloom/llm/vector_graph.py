@@ -326,7 +326,7 @@ def graph_links(assigned: DataFrame, options: GraphOptions) -> DataFrame:
 
 
 def _audit_sample(assigned: DataFrame, counted: DataFrame, options: GraphOptions, each: int) -> pd.DataFrame:
-    """(id, v, n, large, weight): of each stratum the ``each`` vectors with the smallest hashes.
+    """(id, v, n, large, weight): of each stratum ``each`` vectors picked by hashes.
 
     The strata: vectors without found links, with one or two, with more; each in large clusters and outside.
     ``weight`` is the number of the stratum's vectors that a sampled one stands for.
@@ -337,11 +337,16 @@ def _audit_sample(assigned: DataFrame, counted: DataFrame, options: GraphOptions
     links = F.when(F.col("n").isNull(), 0).when(F.col("n") <= 2, 1).otherwise(2)
     rows = rows.select("id", F.coalesce("n", F.lit(0)).alias("n"), "large", links.alias("links"))
     stratum = ["large", "links"]
-    place = F.row_number().over(Window.partitionBy(*stratum).orderBy(F.xxhash64("id"), "id"))
-    picked = rows.withColumn("place", place).where(F.col("place") <= each)
-    picked = picked.join(F.broadcast(rows.groupBy(*stratum).count()), stratum)
-    weight = F.col("count") / F.least(F.col("count"), F.lit(each))
-    return assigned.select("id", "v").join(F.broadcast(picked.select("id", "n", "large", weight.alias("weight"))), "id").toPandas()
+    sized = rows.join(F.broadcast(rows.groupBy(*stratum).count()), stratum)
+    # few rows pass this test, so that no stratum meets in one task; twice as many as asked for, on average
+    chance = F.least(F.lit(1.0), 2 * each / F.col("count"))
+    sized = sized.where(F.pmod(F.xxhash64("id"), F.lit(1 << 40)) < chance * (1 << 40))
+    window = Window.partitionBy(*stratum)
+    place = F.row_number().over(window.orderBy(F.xxhash64("id"), "id"))
+    passed = F.count(F.lit(1)).over(window)
+    picked = sized.withColumn("place", place).withColumn("weight", F.col("count") / F.least(passed, F.lit(each)))
+    picked = picked.where(F.col("place") <= each).select("id", "n", "large", "weight")
+    return assigned.select("id", "v").join(F.broadcast(picked), "id").toPandas()
 
 
 def audit_recall(assigned: DataFrame, counted: DataFrame, options: GraphOptions, each: int) -> float | None:
