@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
+import math
 import re
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from letterloom.llm.common import cut
@@ -38,9 +39,9 @@ DIGIT = re.compile(r"[0-9]")
 # Wider forms, whose matches are candidates that the votes decide on. None has two ways to read one text.
 WIDE = {
     "email": re.compile(
-        r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}+"
-        r"(?: ?(?:\(at\)|\[at\]) ?[A-Za-z0-9-]{1,63}+(?:(?: ?(?:\(dot\)|\[dot\]) ?| dot |\.)[A-Za-z0-9-]{1,63}+){1,8}+"
-        r"| at [A-Za-z0-9-]{1,63}+(?: dot [A-Za-z0-9-]{1,63}+){1,8}+)"
+        r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++"
+        r"(?: ?(?:\(at\)|\[at\]) ?[A-Za-z0-9-]++(?:(?: ?(?:\(dot\)|\[dot\]) ?| dot |\.)[A-Za-z0-9-]++)++"
+        r"| at [A-Za-z0-9-]++(?: dot [A-Za-z0-9-]++)++)"
     ),
     "phone": re.compile(r"(?<![0-9+A-Za-z.-])(?:\([0-9]{3}\) ?|[0-9]{3}[-. ])[0-9]{3}[-. ][0-9]{4}(?![0-9A-Za-z-])"),
     "card": re.compile(r"(?<![0-9A-Za-z.-])[0-9]{4}([ -])[0-9]{4}\1[0-9]{4}\1[0-9]{4}(?![0-9A-Za-z-])"),
@@ -48,6 +49,12 @@ WIDE = {
 
 #: The labelers, in the order of their votes.
 LABELERS = ("form", "checksum", "gazetteer", "context", "neighbours")
+#: The context labeler looks for its words in this many characters before a span.
+NEAR = 40
+#: What only the classifier sees, and the number of levels of each: length, separators, and both sides.
+SHAPE = {"length": 8, "separators": 8, "opens": 2, "closes": 2}
+#: Levels of all marks of a span: the votes -1, 0 and 1, then the shape.
+LEVELS = (3,) * len(LABELERS) + tuple(SHAPE.values())
 
 
 def luhn(digits: str) -> bool:
@@ -105,13 +112,26 @@ def _votes(text: str, kind: str, start: int, end: int, based: bool) -> tuple[int
         gazetteer = -1 if digits.startswith("0") or body.startswith("127.") else 1
     else:
         gazetteer = 0
-    near = text[max(0, start - 40) : start].lower()
+    near = text[max(0, start - NEAR) : start].lower()
     context = 1 if any(re.search(rf"\b{word}\b", near) for word in CONTEXT[kind]) else 0
     sides = text[max(0, start - 1) : start], text[end : end + 1]
     neighbours = -1 if any(s and (s.isalnum() or s in "_/=#$%") for s in sides) else 0
     return form, checksum, gazetteer, context, neighbours
 
 
+def _marks(text: str, kind: str, start: int, end: int, based: bool) -> tuple[int, ...]:
+    """The level of each mark in the order of ``LEVELS``: votes from 0 to 2, then the shape."""
+    body = text[start:end]
+    separators = len(body) - sum(map(str.isalnum, body))
+    shape = (
+        min((end - start).bit_length(), SHAPE["length"] - 1),
+        min(separators, SHAPE["separators"] - 1),
+        int(start == 0 or text[start - 1].isspace() or text[start - 1] in ":([<"),
+        int(end == len(text) or text[end].isspace() or text[end] in ".,;:)]>"),
+    )
+    return (*[vote + 1 for vote in _votes(text, kind, start, end, based)], *shape)
+
+
 def candidates(text: str, based: list[tuple[str, int, int]]) -> list[tuple[str, int, int]]:
     """Spans of the wider forms that overlap no base span, leftmost first and without overlaps."""
     found = []
@@ -130,13 +150,13 @@ def candidates(text: str, based: list[tuple[str, int, int]]) -> list[tuple[str,
     return kept
 
 
-SPANS = "array<struct<kind:string,start:int,end:int,based:boolean,votes:array<int>>>"
+SPANS = "array<struct<kind:string,start:int,end:int,based:boolean,marks:array<int>>>"
 
 
 def voted_spans(documents: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(key, spans): base spans and candidates with their votes."""
+    """(key, spans): base spans and candidates with their marks, which are votes and shape."""
     kind = documents.schema[key].dataType.simpleString()
-    arrow = pa.list_(pa.struct({"kind": pa.string(), "start": pa.int32(), "end": pa.int32(), "based": pa.bool_(), "votes": pa.list_(pa.int32())}))
+    arrow = pa.list_(pa.struct({"kind": pa.string(), "start": pa.int32(), "end": pa.int32(), "based": pa.bool_(), "marks": pa.list_(pa.int32())}))
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -146,7 +166,7 @@ def voted_spans(documents: DataFrame, key: str = "doc_id", text: str = "text") -
                 based = base_spans(body)
                 both = [(s, True) for s in based] + [(s, False) for s in candidates(body, based)]
                 rows.append([
-                    {"kind": k, "start": a, "end": b, "based": sure, "votes": list(_votes(body, k, a, b, sure))}
+                    {"kind": k, "start": a, "end": b, "based": sure, "marks": list(_marks(body, k, a, b, sure))}
                     for (k, a, b), sure in both
                 ])
             yield pa.RecordBatch.from_arrays([batch.column("key"), pa.array(rows, arrow)], ["key", "spans"])
@@ -189,46 +209,69 @@ def estimate(votes: np.ndarray, counts: np.ndarray, rounds: int = 50) -> Reliabi
     return model
 
 
-def _features(kinds: np.ndarray, votes: np.ndarray) -> np.ndarray:
-    """One column per vote and sign, per kind, and a constant."""
-    signs = np.concatenate([votes == 1, votes == -1], axis=1).astype(float)
-    of_kind = np.stack([kinds == k for k in KINDS], axis=1).astype(float)
-    return np.concatenate([signs, of_kind, np.ones((len(votes), 1))], axis=1)
+@dataclass(frozen=True)
+class Classifier:
+    """Weights of a logistic regression: one per kind, and one per level of each mark."""
+
+    kinds: dict[str, float]
+    levels: list[list[float]]
+
+    def score(self, kind: str, marks: Sequence[int]) -> float:
+        """The log odds that a span is personal data."""
+        return self.kinds.get(kind, 0.0) + sum(weights[mark] for weights, mark in zip(self.levels, marks))
+
+    def column(self, kind: Column, marks: Column) -> Column:
+        """The same as an expression."""
+        known = F.coalesce(*[F.when(kind == name, weight) for name, weight in self.kinds.items()], F.lit(0.0))
+        for place, weights in enumerate(self.levels):
+            known = known + F.get(F.lit(weights), F.get(marks, F.lit(place)))
+        return known
+
+
+def _features(kinds: np.ndarray, marks: np.ndarray) -> np.ndarray:
+    """One column per kind, then one per level of each mark."""
+    of_kind = np.stack([kinds == k for k in KINDS], axis=1)
+    return np.concatenate([of_kind, *[marks[:, k, None] == np.arange(n) for k, n in enumerate(LEVELS)]], axis=1).astype(float)
 
 
-def fit_classifier(kinds: np.ndarray, votes: np.ndarray, counts: np.ndarray, target: np.ndarray) -> np.ndarray:
-    """Weights of a logistic regression on soft targets, by damped Newton steps."""
-    x = _features(kinds, votes)
+def fit_classifier(kinds: np.ndarray, marks: np.ndarray, counts: np.ndarray, target: np.ndarray) -> Classifier:
+    """A logistic regression on soft targets, by damped Newton steps."""
+    x = _features(kinds, marks)
     share = counts / max(1, counts.sum())
     weights = np.zeros(x.shape[1])
     for _ in range(40):
-        p = 1 / (1 + np.exp(-x @ weights))
+        p = 1 / (1 + np.exp(-np.clip(x @ weights, -50, 50)))
         slope = x.T @ (share * (p - target)) + 1e-3 * weights
         curve = (x * (share * p * (1 - p))[:, None]).T @ x + 1e-3 * np.eye(len(weights))
         weights -= np.linalg.solve(curve, slope)
-    return weights
+    starts = np.cumsum([len(KINDS), *LEVELS])
+    levels = [weights[a : a + n].tolist() for a, n in zip(starts, LEVELS)]
+    return Classifier(dict(zip(KINDS, weights[: len(KINDS)].tolist())), levels)
 
 
-def learn(spans: DataFrame) -> dict[tuple, float]:
-    """The final classifier's probability for each (kind, votes) that occurs.
+def learn(spans: DataFrame) -> Classifier:
+    """The final span classifier, trained on what expectation-maximisation believes of the votes.
 
-    Votes are counted by Spark. There are at most 3 ** labelers patterns of each kind, so what reaches
-    the driver is bounded whatever the corpus.
+    The labelers' reliabilities are estimated from votes alone; the classifier also sees the kind and the
+    shape of a span. Patterns of marks are counted by Spark: a kind has as many as the product of
+    ``LEVELS`` at most, so what reaches the driver is bounded whatever the corpus. No spans give a
+    classifier without weights.
     """
-    flat = spans.select(F.explode("spans").alias("s")).groupBy("s.kind", "s.votes").count().collect()
+    flat = spans.select(F.explode("spans").alias("s")).groupBy("s.kind", "s.marks").count()
+    flat = flat.orderBy("kind", "marks").collect()
     if not flat:
-        return {}
+        return Classifier({}, [[0.0] * n for n in LEVELS])
     kinds = np.array([r["kind"] for r in flat])
-    votes = np.array([r["votes"] for r in flat])
+    marks = np.array([r["marks"] for r in flat])
     counts = np.array([r["count"] for r in flat], float)
     belief = np.zeros(len(flat))
     for kind in KINDS:
-        at = kinds == kind
-        if at.any():
-            belief[at] = estimate(votes[at], counts[at]).posterior(votes[at])
-    weights = fit_classifier(kinds, votes, counts, belief)
-    scores = 1 / (1 + np.exp(-_features(kinds, votes) @ weights))
-    return {(k, *v): float(p) for k, v, p in zip(kinds.tolist(), votes.tolist(), scores)}
+        at = np.nonzero(kinds == kind)[0]
+        if len(at):
+            votes, place = np.unique(marks[at, : len(LABELERS)] - 1, axis=0, return_inverse=True)
+            model = estimate(votes, np.bincount(place.ravel(), counts[at], len(votes)))
+            belief[at] = model.posterior(votes)[place.ravel()]
+    return fit_classifier(kinds, marks, counts, belief)
 
 
 def decided_spans(documents: DataFrame, key: str = "doc_id", text: str = "text", least: float = 0.5) -> DataFrame:
@@ -239,10 +282,8 @@ def decided_spans(documents: DataFrame, key: str = "doc_id", text: str = "text",
     repeat a key are rows like others; an empty table gives no rows; further columns are not read.
     """
     spans = cut(voted_spans(documents, key, text))
-    passed = [_mark(kind, votes) for (kind, *votes), score in learn(spans).items() if score >= least]
-    passed = F.lit(passed) if passed else F.array().cast("array<string>")
-    mark = lambda s: F.concat_ws(":", s["kind"], F.concat_ws(",", s["votes"].cast("array<string>")))
-    kept = F.filter("spans", lambda s: s["based"] | F.array_contains(passed, mark(s)))
+    model, bar = learn(spans), log_odds(least)
+    kept = F.filter("spans", lambda s: s["based"] | (model.column(s["kind"], s["marks"]) >= bar))
     rank = F.lit([*KINDS])
     keyed = F.transform(
         kept,
@@ -257,8 +298,8 @@ def decided_spans(documents: DataFrame, key: str = "doc_id", text: str = "text",
     return spans.select(key, ordered.alias("spans"))
 
 
-def _mark(kind: str, votes: list[int]) -> str:
-    return f"{kind}:{','.join(map(str, votes))}"
+def log_odds(chance: float) -> float:
+    return math.log(chance / (1 - chance)) if 0 < chance < 1 else math.copysign(math.inf, chance - 0.5)
 
 
 def span_digest(documents: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -286,21 +327,21 @@ def redact(documents: DataFrame, key: str = "doc_id", text: str = "text", least:
     overlap, the run they cover becomes one mark of the first kind. Texts without spans, null ones
     included, stay.
     """
-    passed = {votes for votes, score in learn(voted_spans(documents, key, text)).items() if score >= least}
+    model, bar = learn(voted_spans(documents, key, text)), log_odds(least)
 
     @F.pandas_udf("string")
     def masked(texts: pd.Series) -> pd.Series:
-        return pd.Series([_masked(value, passed) for value in texts], dtype=object)
+        return pd.Series([_masked(value, model, bar) for value in texts], dtype=object)
 
     clean = masked.asNondeterministic()(F.col(text)).alias(text)
     return documents.select(*[clean if c == text else documents[c] for c in documents.columns])
 
 
-def _masked(text: str | None, passed: set[tuple]) -> str | None:
+def _masked(text: str | None, model: Classifier, bar: float) -> str | None:
     if not text:
         return text
     based = base_spans(text)
-    wider = [s for s in candidates(text, based) if (s[0], *_votes(text, *s, False)) in passed]
+    wider = [s for s in candidates(text, based) if model.score(s[0], _marks(text, *s, False)) >= bar]
     out, at = [], 0
     for kind, start, end in sorted(based + wider, key=lambda s: (s[1], KINDS.index(s[0]))):
         if start >= at:
