@@ -102,6 +102,18 @@ def layers(fn) -> list[dict[str, str]]:
     ]
 
 
+#: Documents as replies, in SQL that both engines read: answers between quoted lines, introductions that wrap,
+#: history without marks, quoted introductions, answers above and below.
+REPLY = f"""case doc_id % 6
+  when 0 then concat_ws({NL}, 'On Mon, 1 Jan 2024, Ann wrote:', '> a question', '> and its end', '', text, '', '>', '> another', 'Bye', '> -- ')
+  when 1 then concat_ws({NL}, 'Hi,', text, 'On Mon, 1 Jan 2024 at 10:00, Ann Example', '<ann@example.com> wrote:', '', ' ', '> old', 'below ' || source)
+  when 2 then concat_ws({NL}, '> not introduced', text, '> nor this', 'end', '> last', '')
+  when 3 then concat_ws({NL}, text, 'El lun, 1 ene 2024, Ann escribió:', 'all of this is old', '> and this', text)
+  when 4 then concat_ws({NL}, 'Le lun. 1 janv. 2024, Ann a écrit :', '> Op ma 1 jan. 2024 Bob schreef:', '>> oldest', text, '> tail', '',
+    '-----Original Message-----', 'From: someone', text)
+  else concat_ws({NL}, text, '-----Original Message-----', '> From: Ann', '> ' || source, 'the answer', 'On a day', 'in May', '> wrote:') end"""
+
+
 def mail_documents(documents: DataFrame) -> DataFrame:
     """Documents with every fixture column."""
     for layer in layers(_spark):

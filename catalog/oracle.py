@@ -11,7 +11,7 @@ from letterloom.functions.headers import SUBJECT_MARKS
 from letterloom.functions.tagging import COUNTRIES, FIRST_NAMES, LAST_NAMES, NUMBER_WORDS
 from letterloom.functions.text import PUNCTUATION, WHITESPACE
 
-from catalog.mail import mail_sql
+from catalog.mail import REPLY, mail_sql
 from catalog.queries import EVENT_DAY, MATRIX_DAY
 from catalog.tables import LEMMAS, SALT
 
@@ -22,7 +22,7 @@ def q(text: str) -> str:
 
 NL = "chr(10)"
 SEGMENT = q(r"[\p{L}\p{N}_]+|[^\p{L}\p{N}_]+")
-INTRO = r"^[ \t>]*(On|Le|Am|Op|El|Il|Den|Em) "
+INTRO = r"^[ \t]*(On|Le|Am|Op|El|Il|Den|Em) "
 WROTE = r"(wrote|a écrit|schrieb|schreef|escribió|ha scritto|skrev|escreveu) ?:[ \t]*$"
 
 
@@ -41,20 +41,46 @@ def cut_ctes(source: str, text: str, name: str) -> str:
   from {name}_c)"""
 
 
+def intro_sql(lines: str, i: str) -> tuple[str, str]:
+    """Whether line ``i`` introduces history: with the next line, or alone."""
+    two = f"(regexp_matches({lines}[{i}], {q(INTRO)}) and regexp_matches(coalesce({lines}[{i} + 1], ''), {q(WROTE)}))"
+    one = (
+        f"(regexp_matches({lines}[{i}], {q(INTRO + '.*' + WROTE)}) "
+        f"or regexp_matches({lines}[{i}], {q('^[ \\t]*-+ ?Original Message ?-+')}))"
+    )
+    return two, one
+
+
 def quote_ctes(source: str, text: str, name: str) -> str:
-    """CTEs that end in ``name``: ``source`` plus ``unquoted``, the text without quoted history."""
-    single = q(INTRO + ".*" + WROTE)
+    """CTEs that end in ``name``: ``source`` plus ``unquoted``, the text without quoted history.
+
+    Each line has a mark: q quoted, b blank, t text. An introduction whose following marks are blanks and
+    then a quote becomes a quoted line; the first one left ends the text.
+    """
+    two, one = intro_sql("lines", "i")
+    more, alone = intro_sql("fresh", "i")
+    quoted, blank = q("^[ \\t]*>"), q("^[ \\t]*$")
     return f"""
 {name}_a as (select *, string_split({text}, {NL}) as lines from {source}),
-{name}_b as (select *, list_position(list_transform(range(1, len(lines) + 1), lambda i:
-  regexp_matches(lines[i], {single})
-  or (regexp_matches(lines[i], {q(INTRO)}) and regexp_matches(coalesce(lines[i + 1], ''), {q(WROTE)}))
-  or regexp_matches(lines[i], {q("^[ \\t>]*-+ ?Original Message ?-+")})), true) as hit from {name}_a),
-{name}_c as (select *, case when coalesce(hit, 0) = 0 then lines else lines[1:hit - 1] end as kept from {name}_b),
-{name}_d as (select *, list_max(list_filter(range(1, len(kept) + 1),
-  lambda i: regexp_matches(kept[i], {q("^[ \\t]*[^>\\s]")}))) as last from {name}_c),
-{name} as (select * exclude (lines, hit, kept, last), case when {text} is null then null
-  when last is null then '' else array_to_string(kept[1:last], {NL}) end as unquoted from {name}_d)"""
+{name}_b as (select *, array_to_string(list_transform(lines, lambda l:
+  case when regexp_matches(l, {quoted}) then 'q' when regexp_matches(l, {blank}) then 'b' else 't' end), '') as marks
+  from {name}_a),
+{name}_c as (select *, list_transform(range(1, len(lines) + 1), lambda i:
+  case when {two} and regexp_matches(substr(marks, i + 2), '^b*q') then 2
+  when {one} and regexp_matches(substr(marks, i + 1), '^b*q') then 1 else 0 end) as led from {name}_b),
+{name}_d as (select *, list_transform(range(1, len(lines) + 1), lambda i:
+  case when led[i] > 0 or (i > 1 and led[i - 1] = 2) then '>' else lines[i] end) as fresh from {name}_c),
+{name}_e as (select *, list_position(list_transform(range(1, len(fresh) + 1), lambda i: {more} or {alone}), true) as hit
+  from {name}_d),
+{name}_f as (select *, case when coalesce(hit, 0) = 0 then fresh else fresh[1:hit - 1] end as above from {name}_e),
+{name}_g as (select *, case when list_max(led) > 0
+  then list_filter(above, lambda l: not regexp_matches(l, {quoted})) else above end as kept from {name}_f),
+{name}_h as (select *, case when list_max(led) > 0 then coalesce(list_min(list_filter(range(1, len(kept) + 1),
+  lambda i: not regexp_matches(kept[i], {blank}))), 1) else 1 end as first,
+  list_max(list_filter(range(1, len(kept) + 1), lambda i: regexp_matches(kept[i], {q("^[ \\t]*[^>\\s]")}))) as last
+  from {name}_g),
+{name} as (select * exclude (lines, marks, led, fresh, hit, above, kept, first, last), case when {text} is null then null
+  when last is null then '' else array_to_string(kept[first:last], {NL}) end as unquoted from {name}_h)"""
 
 
 # The SQL side's own patterns.
@@ -396,6 +422,8 @@ union all select doc_id, 2, 1, 0, 'text/html', 'utf-8', html, null from mail whe
     "select doc_id, length(cut) between 250 and 5000 as passes from cuts",
     "length_gate_final": "select doc_id, length(text) between 200 and 50000 as passes from documents",
     "html_to_text": f"select page_id, {html_sql('html')} as text from pages",
+    "reply_strip": f"with replies as (select doc_id, {REPLY} as reply from documents), "
+    f"{quote_ctes('replies', 'reply', 'quotes')} select doc_id, unquoted as body from quotes",
     "quote_strip": f"{MAIL_TEXTS}, {quote_ctes('mail', 'full_text', 'quotes')} select doc_id, unquoted as body from quotes",
     # anonymisation
     "salted_hash": f"{MAIL_TEXTS} select doc_id, {hash_sql('full_text')} as hash from mail",

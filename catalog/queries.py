@@ -41,7 +41,7 @@ from letterloom.sources.readers import read_day, read_mail_dir, read_messages, r
 from letterloom.sources.writers import write_features, write_messages
 from letterloom.streaming.ingest import ingest_stream, tagged_batch_writer, write_outcome_stream
 
-from catalog.mail import as_kafka_rows, mail_documents, mail_raw, read_documents
+from catalog.mail import REPLY, as_kafka_rows, mail_documents, mail_raw, read_documents
 from catalog.tables import (
     SALT,
     benchmark_gazetteer,
@@ -413,6 +413,12 @@ def quote_strip(spark, sf_dir):
     return _texts(spark, sf_dir).select("doc_id", strip_quotes(F.col("full_text")).alias("body"))
 
 
+@query
+def reply_strip(spark, sf_dir):
+    """Replies that answer between the lines they quote."""
+    return read_documents(spark, sf_dir).select("doc_id", strip_quotes(F.expr(REPLY)).alias("body"))
+
+
 # anonymisation
 
 

@@ -10,12 +10,14 @@ from letterloom.options import HEADER_HINT_PATTERN, SEPARATOR_PATTERN
 
 # What a hit of the default patterns starts with; a quick test before the words.
 HIT_START = "(?=[-_*=tsfcb])"
-# The line that introduces quoted history, in the languages mail programs use.
+# The line or two that introduce quoted history, in the languages mail programs use.
 QUOTE_INTRO = (
-    r"[ \t>]*(?:On|Le|Am|Op|El|Il|Den|Em) [^\n]*(?:\n[^\n]*)?"
-    r"(?:wrote|a écrit|schrieb|schreef|escribió|ha scritto|skrev|escreveu) ?:[ \t]*(?:\n|\z)"
-    r"|[ \t>]*-+ ?Original Message ?-+"
+    r"[ \t]*(?:On|Le|Am|Op|El|Il|Den|Em) [^\n]*(?:\n[^\n]*)?"
+    r"(?:wrote|a écrit|schrieb|schreef|escribió|ha scritto|skrev|escreveu) ?:[ \t]*(?=\n|\z)"
+    r"|[ \t]*-+ ?Original Message ?-+[^\n]*"
 )
+# An introduction whose next line with text is quoted.
+MARKED_INTRO = rf"(\A|\n)(?:{QUOTE_INTRO})(?=\n(?:[ \t]*\n)*+[ \t]*>)"
 
 
 def cut_inline(
@@ -38,6 +40,22 @@ def cut_inline(
 
 
 def strip_quotes(text: Column) -> Column:
-    """Drop the text from a quote introduction on, then trailing quoted and blank lines."""
-    cut = F.regexp_replace(text, rf"(?s)(?:\A|\n)(?:{QUOTE_INTRO}).*\z", "")
-    return F.regexp_extract(cut, r"(?s)\A(?:.*\n)?[ \t]*[^>\s][^\n]*", 0)
+    """The text without the history it quotes.
+
+    Where an introduction stands before quoted lines, it goes with all quoted lines of the text, and what is
+    written between and below them stays, blank lines too. One that nothing quoted follows ends the text:
+    its history has no marks. Quoted and blank lines at the end go in any case; other quoted lines stay where
+    nothing introduces them. A quoted introduction is a quoted line. No text left is empty; null stays null.
+    """
+
+    def remaining(marked: Column) -> Column:
+        cut = F.regexp_replace(marked["lines"], rf"(?s)(?:\A|\n)(?:{QUOTE_INTRO}).*\z", "")
+        answer = F.regexp_replace(F.regexp_replace(cut, r"(?md)^[ \t]*>[^\n]*(?:\n|\z)", ""), r"\A(?:[ \t]*\n)++", "")
+        return F.regexp_extract(F.when(marked["led"], answer).otherwise(cut), r"(?s)\A(?:.*\n)?[ \t]*[^>\s][^\n]*", 0)
+
+    def marks(whole: Column) -> Column:
+        # an introduction becomes a quoted line like those it stands before
+        lines = F.when(F.contains(whole, F.lit(">")), F.regexp_replace(whole, MARKED_INTRO, "$1>")).otherwise(whole)
+        return bind(lines, lambda quoted: bind(F.struct(quoted.alias("lines"), (quoted != whole).alias("led")), remaining))
+
+    return bind(text, marks)

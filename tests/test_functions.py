@@ -147,10 +147,18 @@ def test_strip_quotes(column):
         "Text\n-----Original Message-----\nold": "Text",
         "Am 1.1.2024 schrieb:\nalt": "",
         "On time, as I wrote: yes": "On time, as I wrote: yes",
+        "On Mon, Ann wrote:\n> a\nfirst answer\n\n> b\n\nsecond\n> c\n": "first answer\n\n\nsecond",
+        "Hi,\nOn Mon, Ann\n<a@b.c> wrote:\n \n\n > a\nbelow": "Hi,\n \n\nbelow",  # blank lines stay
+        "x\nLe lundi, Ann a écrit :\n> a\n\n\nbas\nEl lunes, Bo escribió:\ntodo": "x\n\n\nbas",
+        "x\n> On Mon, Ann wrote:\ny": "x\n> On Mon, Ann wrote:\ny",
+        "On Mon, Ann wrote:\n> Bo wrote:\n>> a\nyes": "yes",
+        "On Mon, Ann wrote:\n\n": "",
+        "": "",
         None: None,
     }
     assert column(list(cases), strip_quotes) == list(cases.values())
     assert column(["x\n" + "> q\n" * 100_000], strip_quotes) == ["x"]
+    assert column(["On a wrote:\n" + " \n" * 300_000 + "> q\n" * 300_000 + "x"], strip_quotes) == ["x"]
 
 
 def test_html_text(column):

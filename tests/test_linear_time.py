@@ -45,7 +45,7 @@ def test_addresses(seconds, unit):
     assert seconds(lambda c: F.size(parse_address_list(c)), repeated(unit, SHORT)) < 5
 
 
-@pytest.mark.parametrize("unit", ["]", "] ", "[ ", "( ", " ", "RE ", "a.b-", "1,", "www.", ">\n", "-", "On x "])
+@pytest.mark.parametrize("unit", ["]", "] ", "[ ", "( ", " ", "RE ", "a.b-", "1,", "www.", ">\n", "-", "On x ", "On x\n", "On x wrote:\n", "On x wrote:\n>\n", "\n ", "wrote:"])
 def test_other_patterns(seconds, unit):
     text = repeated(unit, SHORT) + "x"
     for function in (clean_subject, cut_inline, strip_quotes, tag_patterns, lambda c: F.size(all_headers(c))):
