@@ -298,6 +298,12 @@ def _number_count(text: str) -> str:
     return f"length({marked}) - length(replace({marked}, chr(1), ''))"
 
 
+EML = (
+    f"trim(array_to_string(['Message-Id: ' || message_id, 'Date: ' || date, 'From: ' || from_address, "
+    f"'To: ' || to_addresses, 'Cc: ' || cc_addresses, 'Bcc: ' || bcc_addresses, 'Subject: ' || subject, '', body], "
+    f"{NL}), {q(WHITESPACE)})"
+)
+
 ORACLE = {
     # sources and sinks
     "stream_ingest": published(f"{COLUMNS}, processed_date"),
@@ -317,11 +323,9 @@ ORACLE = {
     "day_partition_scan": f"select event_id, event_type from events where cast(ts as date) = date '{EVENT_DAY}'",
     "column_scan": "select doc_id, lang from documents",
     "parquet_roundtrip": published(f"doc_id, {COLUMNS}"),
-    "eml_render": published(
-        f"doc_id, trim(array_to_string(['Message-Id: ' || message_id, 'Date: ' || date, 'From: ' || from_address, "
-        f"'To: ' || to_addresses, 'Cc: ' || cc_addresses, 'Bcc: ' || bcc_addresses, 'Subject: ' || subject, '', body], "
-        f"{NL}), {q(WHITESPACE)}) as eml"
-    ),
+    "eml_render": published(f"doc_id, {EML} as eml"),
+    "eml_files": f"select sha256(eml || chr(10) || chr(10)) as eml_hash, count(*) as files "
+    f"from ({published(f'{EML} as eml')}) group by 1",
     "feature_export": f"""with {PROCESSED}, {counts_ctes("processed", "doc_id, field")}, sparse as ({SPARSE}),
 halves as (select doc_id, {HALVES} as split from documents)
 select doc_id, '{MATRIX_DAY}' as matrix_date, field, split, indices, counts from sparse join halves using (doc_id)""",

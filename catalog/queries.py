@@ -38,7 +38,7 @@ from letterloom.plans.messages import accepted_messages, classify_messages, clea
 from letterloom.schemas import MESSAGE_COLUMNS
 from letterloom.session import apply_runtime_conf, work_path
 from letterloom.sources.readers import read_day, read_mail_dir, read_messages, read_vocabulary
-from letterloom.sources.writers import write_features, write_messages
+from letterloom.sources.writers import write_eml_files, write_features, write_messages
 from letterloom.streaming.ingest import ingest_stream, tagged_batch_writer, write_outcome_stream
 
 from catalog.mail import REPLY, as_kafka_rows, mail_documents, mail_raw, read_documents
@@ -155,6 +155,15 @@ def dir_ingest(spark, sf_dir):
     return outcomes.select(doc_id.alias("doc_id"), "message_id", "subject", "reason", F.sha2("body", 256).alias("body_hash"))
 
 
+@query
+def eml_files(spark, sf_dir):
+    """Accepted messages written as eml files and read back as mail."""
+    path = work_path(spark, "eml")
+    write_eml_files(accepted_messages(_messages(spark, sf_dir)), path)
+    read = read_mail_dir(spark, path, "*.eml").select(F.col("value").cast("string").alias("eml"))
+    return read.groupBy(F.sha2("eml", 256).alias("eml_hash")).agg(F.count(F.lit(1)).alias("files"))
+
+
 @query
 def day_partition_scan(spark, sf_dir):
     path = work_path(spark, "days")

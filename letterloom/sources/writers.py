@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from letterloom.operators.records import render_message
+from letterloom.sources.message_files import MessageFiles
 
 
 def write_messages(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
@@ -34,6 +35,19 @@ def write_eml_text(df: DataFrame, path: str, buckets: int = 256) -> None:
     rendered.hint("rebalance", "bucket").write.mode("overwrite").partitionBy("bucket").text(path)
 
 
+def write_files(df: DataFrame, content: Column, path: str, suffix: str = ".eml", mode: str = "overwrite") -> None:
+    """A file for each row, with the bytes of ``content``, in folders of bounded size."""
+    df.sparkSession.dataSource.register(MessageFiles)
+    rows = df.select(content.cast("binary").alias("content"))
+    rows.write.format("message_files").option("suffix", suffix).mode(mode).save(path)
+
+
+def write_eml_files(df: DataFrame, path: str) -> None:
+    """Every message as an eml file of its own, ended by a blank line; repeated messages too."""
+    rendered = render_message(df)
+    write_files(rendered, F.concat("eml", F.lit("\n\n")), path)
+
+
 def write_features(df: DataFrame, path: str) -> None:
     """Sparse rows below ``matrix_date``, ``field`` and ``split`` folders.
 

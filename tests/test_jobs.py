@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 import hashlib
 import re
+from collections import Counter
 from pathlib import Path
 
 import pytest
@@ -26,7 +27,8 @@ from letterloom.sources.readers import (
     read_messages,
     read_vocabulary,
 )
-from letterloom.sources.writers import write_messages
+from letterloom.sources.message_files import MessageFileWriter, Written
+from letterloom.sources.writers import write_files, write_messages
 from letterloom.streaming.ingest import (
     ingest_stream,
     tagged_batch_writer,
@@ -266,3 +268,40 @@ def test_hostile_messages(spark):
     options = MailOptions(tag_content=True, fill_surrogates=True, hash_addresses=True, salt="s")
     assert classify_messages(kafka_frame(spark, hostile), options).count() == len(hostile)
     assert len(classify_messages(kafka_frame(spark, hostile), options).collect()) == len(hostile)
+
+
+def test_message_files(spark, tmp_path):
+    """Null, empty and repeated rows are files; appending adds, overwriting replaces, a failed write leaves nothing."""
+    path = str(tmp_path / "out")
+    rows = [(b"a",), (b"a",), (None,), (b"",), ("é\n".encode() * 9,)] * 700
+    frame = spark.createDataFrame(rows, "content binary").repartition(2)
+
+    def contents():
+        files = [p for p in (tmp_path / "out").rglob("*.eml") if not any(part.startswith("_") for part in p.parts)]
+        return sorted(p.read_bytes() for p in files)
+
+    want = sorted(r[0] or b"" for r in rows)
+    for mode, times in (("overwrite", 1), ("append", 2), ("overwrite", 1)):
+        write_files(frame, F.col("content"), path, mode=mode)
+        assert Counter(contents()) == Counter(want * times), mode
+    read = read_mail_dir(spark, path, "*.eml").select("value").collect()
+    assert sorted(bytes(r[0]) for r in read) == [c for c in want if c]  # Spark's reader passes over empty files
+    assert max(len(list(p.iterdir())) for p in (tmp_path / "out").rglob("*") if p.is_dir()) <= 1_000
+    broken = frame.withColumn("content", F.when(F.col("content") == b"", F.raise_error(F.lit("broken"))).otherwise(F.col("content")))
+    with pytest.raises(Exception, match="broken"):
+        write_files(broken, F.col("content"), path, mode="append")
+    assert contents() == want and not [p for p in (tmp_path / "out").iterdir() if p.name.startswith("_")]
+    with pytest.raises(Exception, match="first column"):
+        frame.select(F.lit("x")).write.format("message_files").mode("append").save(path)
+    write_files(frame.where("false"), F.col("content"), path)
+    assert [p for p in (tmp_path / "out").rglob("*") if p.is_file() and p.suffix == ".eml"] == []
+
+
+def test_uncommitted_attempts_go(tmp_path):
+    """What a lost attempt wrote does not outlive the commit."""
+    writer = MessageFileWriter(str(tmp_path), False, "job-1", ".eml")
+    for folder in ("part-000000-1", "part-000000-2"):
+        (tmp_path / "_job-1" / folder).mkdir(parents=True)
+        (tmp_path / "_job-1" / folder / "000.eml").write_bytes(b"x")
+    writer.commit([Written("part-000000-2", 1), None])
+    assert [str(p.relative_to(tmp_path)) for p in tmp_path.rglob("*.eml")] == ["job-1/part-000000-2/000.eml"]
