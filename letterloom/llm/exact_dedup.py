@@ -85,12 +85,21 @@ def drop_copies(documents: DataFrame, key: str = "doc_id", text: str = "text") -
     return documents.join(dropped.hint("shuffle_hash"), same, "left_anti")
 
 
-def one_per_text(documents: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+def one_per_text(
+    documents: DataFrame, key: str = "doc_id", text: str = "text", hashed: Callable[[Column], Column] = content_hash
+) -> DataFrame:
     """One row per text, with all its columns: that of the smallest key, null keys last.
 
-    Texts are equal when the SHA-256 of their bytes is after :func:`normalised`. Copies are left out
-    before the shuffle, so a group of any size, also one that repeats its key, costs a row per task.
+    :func:`exact_groups` decides, by hash and bytes, which key stays for a text. Rows that repeat a key and a
+    text are one before the shuffle, so a group of any size, also one that repeats its key, costs a row per
+    key and task.
     """
-    first = F.struct(F.isnull(key), F.col(key), F.xxhash64(text))
-    groups = documents.groupBy(F.sha2(normalised(F.col(text)), 256).alias("_sha"))
-    return groups.agg(F.min_by(F.struct(*documents.columns), first).alias("_kept")).select("_kept.*")
+
+    def place(key: Column, sha: Column) -> Column:
+        return F.concat(sha, F.coalesce(F.concat(F.lit("="), key.cast("string")), F.lit("")))
+
+    kept = exact_groups(documents, key, text, hashed).where("kept")
+    kept = kept.select(place(F.col(key), F.col("text_sha256")).alias("_place")).distinct()
+    own = place(F.col(key), F.sha2(normalised(F.col(text)), 256)).alias("_place")
+    rows = documents.groupBy(own).agg(F.min_by(F.struct(*documents.columns), F.xxhash64(text)).alias("_row"))
+    return rows.join(kept.hint("shuffle_hash"), "_place", "left_semi").select("_row.*")

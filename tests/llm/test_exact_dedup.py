@@ -6,6 +6,7 @@ from collections import defaultdict
 
 from pyspark.sql import functions as F
 
+from letterloom.llm import exact_dedup
 from letterloom.llm.exact_dedup import drop_copies, exact_groups, one_per_text
 
 
@@ -54,3 +55,12 @@ def test_one_row_per_text(docs, texts, no_docs):
     want = {(keep, body(t)) for (_, t), (_, keep, *_) in zip(texts, [next(g for g in brute(texts) if g[0] == k and g[4] == hashlib.sha256(body(t).encode()).hexdigest()) for k, t in texts])}
     assert sorted(((r["doc_id"], body(r["text"])) for r in got.collect()), key=repr) == sorted(want, key=repr)
     assert one_per_text(no_docs).collect() == []
+
+
+def test_one_row_per_text_is_the_operators_choice(docs, monkeypatch):
+    """The rows that stay are those of the operator, by hash and bytes, also where hashes collide."""
+    calls, weak = [], lambda c: F.substring(F.md5(c.cast("binary")), 1, 1)
+    monkeypatch.setattr(exact_dedup, "exact_groups", lambda *args: calls.append(args) or exact_groups(*args))
+    want = sorted(map(tuple, one_per_text(docs).collect()), key=repr)
+    assert len(calls) == 1
+    assert sorted(map(tuple, one_per_text(docs, hashed=weak).collect()), key=repr) == want
