@@ -305,3 +305,36 @@ def test_uncommitted_attempts_go(tmp_path):
         (tmp_path / "_job-1" / folder / "000.eml").write_bytes(b"x")
     writer.commit([Written("part-000000-2", 1), None])
     assert [str(p.relative_to(tmp_path)) for p in tmp_path.rglob("*.eml")] == ["job-1/part-000000-2/000.eml"]
+
+
+def test_files_are_listed_and_read_by_tasks(spark, tmp_path):
+    """The rows of Spark's reader of binary files, without a list of files on the driver."""
+    root = tmp_path / "mail"
+    for place in ("a.eml", "in/b.eml", "in/deep=1/c d.eml", "in/deep=1/_x=1.eml", "in/_hidden/d.eml", "in/.e.eml", "_f.eml",
+                  "in/g.txt", "in/_metadata/h.eml", "in/i._COPYING_", "in/empty.eml"):
+        (root / place).parent.mkdir(parents=True, exist_ok=True)
+        (root / place).write_bytes(b"" if "empty" in place else place.encode() * 3 + b"\xff")
+    (root / "in/nothing").mkdir()
+    for glob in ("*.eml", None, "?.t*", "{a,b}.eml", "none"):
+        reader = spark.read.format("binaryFile").option("recursiveFileLookup", True)
+        want = (reader.option("pathGlobFilter", glob) if glob else reader).load(str(root))
+        want = sorted(want.select("path", "modificationTime", "content").collect())
+        for place in (str(root), f"file://{root}/"):
+            got = read_mail_dir(spark, place, glob)
+            assert sorted(got.select("path", "timestamp", "value").collect()) == want, glob
+            assert ("binaryFile" in plan(got)) == (glob == "{a,b}.eml")
+    assert read_mail_dir(spark, str(root), "*.eml").count() == 5
+    assert read_mail_dir(spark, f"{root}/in/b.eml").count() == 1  # a file, read by Spark
+
+
+def test_named_files(spark, tmp_path):
+    """Rows of one name are one file, also a null one, and folders stay bounded however many names there are."""
+    path = str(tmp_path / "out")
+    rows = [(i % 2500, b"%d\n" % i) for i in range(3000)] + [(None, b"x\n"), (None, b"x\n")]
+    frame = spark.createDataFrame(rows, "id int, content binary").repartition(5)
+    write_files(frame, F.col("content"), path, ".txt", name=F.concat(F.lit("id="), F.col("id").cast("string")))
+    files = {p.stem: sorted(p.read_text().split()) for p in (tmp_path / "out").rglob("*.txt")}
+    want = {f"id={i}": sorted(str(k) for k in range(3000) if k % 2500 == i) for i in range(2500)}
+    assert files == want | {"unnamed": ["x", "x"]}
+    folders = [p for p in (tmp_path / "out").rglob("*") if p.is_dir()]
+    assert len(folders) < 60 and max(len(list(p.iterdir())) for p in folders) <= 1_000
