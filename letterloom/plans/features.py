@@ -8,7 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from letterloom.operators.bow import lemma_vectors
+from letterloom.operators.bow import lemma_vectors, lemma_vectors_in_row, long_texts
 from letterloom.operators.lookup import Lookup
 from letterloom.operators.ranking import half_split
 from letterloom.operators.tokens import add_lemmas, explode_token_counts
@@ -52,8 +52,10 @@ def daily_features(
     else:
         rows = half_split(number_rows(messages, key, fields), "row_key")
     row = ("row_id", key, "split")
-    lemmatised = add_lemmas(explode_token_counts(rows, row, fields), lemmas)
-    vectors = lemma_vectors(lemmatised, row, vocabulary)
+    if lemmas.fits and vocabulary.fits:
+        vectors = lemma_vectors_in_row(long_texts(rows, row, fields), row, lemmas, vocabulary)
+    else:
+        vectors = lemma_vectors(add_lemmas(explode_token_counts(rows, row, fields), lemmas), row, vocabulary)
     return vectors.select(
         "row_id", key, F.lit(day).alias("matrix_date"), "field", "split", "indices", "values"
     )
