@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 import random
 import time
+import tracemalloc
 from collections import Counter
 
 import pytest
@@ -12,8 +13,8 @@ import regex
 from pyspark.sql import functions as F
 
 from letterloom.functions.tagging import segments
-from letterloom.operators.bow import bow_counts, bow_vectors
-from letterloom.functions.names import keep_longest, tagged
+from letterloom.operators.bow import bow_counts, bow_vectors, long_texts
+from letterloom.functions.names import Trie, keep_longest, portions, tagged
 from letterloom.operators.entities import FILTER_BITS, find_entities, read_gazetteer, tag_entities
 from letterloom.functions.tokens import counted
 from letterloom.operators.lookup import Lookup, hot_keys, lookup_join, measure
@@ -311,3 +312,36 @@ def test_recipients(spark):
     df = spark.createDataFrame([(1, "a@b.cd, x, e@f.gh", None, "i@j.kl")], "id int, t string, c string, b string")
     rows = explode_recipients(df, "id", to="t", cc="c", bcc="b").collect()
     assert {(r["role"], r["pos"], r["address"]) for r in rows} == {("to", 0, "a@b.cd"), ("to", 1, "e@f.gh"), ("bcc", 0, "i@j.kl")}
+
+
+def test_vectors_in_the_row_equal_joined_ones(spark, lookups):
+    """Vocabularies that fit are looked up in the text's row: no join, a row per text shuffled, the same vectors."""
+    lemmas, vocabulary = lookups
+    large = [Lookup(lookup.table, lookup.rows, lookup.bytes, 0) for lookup in lookups]
+    texts = [(1, "Foxes, men & dogs. Men!", None), (2, "", "horse " * 300 + "days"), (2, "day", "mens horse 12 the"), (None, "café", "x"), (None, None, "cafe running")]
+    rows = spark.createDataFrame(texts, "id long, subject string, body string").repartition(3)
+    shape = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    by = lambda df: sorted(map(tuple, df.collect()), key=repr)
+    long = long_texts(rows, ("id",), ("subject", "body"))
+    got = bow_vectors(long, ("id",), vocabulary, in_row=True)
+    assert by(got) == by(bow_vectors(long, ("id",), large[1])) and got.count() == 6
+    assert "posexplode" not in shape(got)
+    days = [daily_features(rows, v, w, dt.date(2024, 1, 1), key="id", unique=True) for w, v in (lookups, large)]
+    assert by(days[0]) == by(days[1]) and days[0].count() >= 6
+    assert "posexplode" not in shape(days[0]) and "Join" not in shape(days[0])
+
+
+def test_texts_are_tagged_a_portion_at_a_time():
+    """The segments of a batch are never all held, and portions change no text."""
+    texts = [None, "", "x" * 50, *["Ann met Bob Lee, " * 20] * 30, "Ann"]
+    assert [texts[p] for p in portions(texts, 400)][0] == texts[:4]
+    assert [t for p in portions(texts, 400) for t in texts[p]] == texts
+    assert max(sum(len(t or "") for t in texts[p]) for p in portions(texts, 400)) <= 400
+    assert [t for p in portions([]) for t in p] == []
+    trie = Trie.of(["Ann", "Bob Lee"], ["P", "Q"])
+    long = ["Ann met Bob Lee, " * 20_000] * 12
+    tracemalloc.start()
+    assert tagged(long, trie, 3) == ["P met Q, " * 20_000] * 12
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 150e6
