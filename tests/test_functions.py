@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 import hashlib
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -242,3 +243,24 @@ def test_patterns_without_recursion(column):
     assert column(["<a" + " b='>'" * n + ">x", "x<script>alert(1)", "x<!-- y"], html_text) == ["x", "x", "x"]
     assert column(["&#x00000e9;&#00000233;&apos;&hellip;&#" + "9" * n + ";"], html_text) == ["éé'…\ufffd"]
     assert column(["Re: " * 60 + "Re: news"], lambda c: clean_subject(c, anchored=True)) == ["news"]
+
+
+def test_words_with_an_at_are_those_of_a_split(column):
+    """Cutting out the words with an "@" finds the words of a split at the breaks, in time that grows with the text."""
+    from catalog.queries import WORD_WITH_AT
+
+    texts = ["a@b.co,(x@y.org) <q@z.de>;'w@v.io'\tno\n@@ p@q@r.com \u00e9@\u00e9.com a@", "", None, "@", "none", "z" * 2_000_000 + " a@b.co"]
+    want = [t and [w for w in re.split(r"""[ \n\t,;<>()"']""", t) if "@" in w] for t in texts]
+    got = column(texts, lambda c: F.regexp_extract_all(c, F.lit(WORD_WITH_AT), F.lit(0)))
+    assert got == [w if t is not None and t != "" else ([] if t == "" else None) for t, w in zip(texts, want)]
+
+
+def test_cuts_are_found_in_any_case(column):
+    """The quick test before the words passes every place where one of them starts."""
+    from letterloom.options import HEADER_HINT_PATTERN, SEPARATOR_PATTERN
+
+    starts = ["To:", "tO:", "SUBJECT:", "subject:", "\u017fubject:", "fRom:", "cC:", "BC", "bcc", "----", "=_*-", "___", "t o:"]
+    texts = [f"first line\nsecond {start} x\u2028end\r" for start in starts]
+    slow = re.compile(f"(?iu)(?:{SEPARATOR_PATTERN}|{HEADER_HINT_PATTERN})")
+    want = ["first line" if slow.search(t) else "first line\n" + t.split("\n")[1].replace("\u2028", "\n").rstrip("\r") for t in texts]
+    assert column(texts, cut_inline) == want
